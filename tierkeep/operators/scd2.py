@@ -205,16 +205,20 @@ def as_of_join(
     time: str,
     bucket: str = "year",
     how: str = "inner",
+    span: tuple[AsOf, AsOf] | None = None,
 ) -> DataFrame:
     """Each fact row with the version of its key valid at the fact's time.
 
     The join is an equi-join on key and calendar bucket: a version is repeated for the buckets it
     spans inside the facts' time range, so a fact meets only versions of its own bucket, and a hot
-    key is spread over its buckets (adaptive skew join splits what is left).
+    key is spread over its buckets (adaptive skew join splits what is left). ``span`` gives the
+    facts' first and last time where known; otherwise one scan of the time column finds them.
     """
     when = F.col(time).cast("timestamp")
-    span = facts.agg(F.min(when).alias("lo"), F.max(when).alias("hi"))
-    low, high = span.select("lo").scalar(), span.select("hi").scalar()
+    if span is None:
+        ends = facts.agg(F.min(when).alias("lo"), F.max(when).alias("hi"))
+        span = (ends.select("lo").scalar(), ends.select("hi").scalar())
+    low, high = as_timestamp(span[0]), as_timestamp(span[1])
     step = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}[bucket]
     begins = F.date_trunc(bucket, F.greatest(F.col("valid_from").cast("timestamp"), low))
     finishes = F.date_trunc(bucket, F.least(F.col("valid_to").cast("timestamp"), high))
