@@ -75,8 +75,12 @@ def stamped(
 
 
 def batched(df: DataFrame, order: list[Column], run: str, size: int = 100) -> DataFrame:
-    """Add ``_batch``, an id for every ``size`` consecutive rows of a run column's value."""
-    chunked = assign_chunks(df, order, size, "_chunk", within=run)
+    """Add ``_batch``: at most ``size`` consecutive rows of one run share an id.
+
+    Runs are numbered through, so no run has to be gathered or joined to find its first row; a run
+    may only begin and end with a smaller batch.
+    """
+    chunked = assign_chunks(df, [F.col(run), *order], size, "_chunk")
     return chunked.withColumn("_batch", F.concat_ws("-", F.col(run).cast("string"), F.col("_chunk"))).drop("_chunk")
 
 

@@ -42,19 +42,7 @@ def dense_index(
     return placed.withColumn(name, first + within).drop("_place")
 
 
-def assign_chunks(
-    df: DataFrame,
-    order: list[Column],
-    size: int = 100,
-    name: str = "chunk",
-    within: str | None = None,
-) -> DataFrame:
-    """Put rows into consecutive chunks of at most ``size``, restarting per ``within`` if given."""
-    if within is None:
-        numbered = dense_index(df, order, "_index")
-        return numbered.withColumn(name, F.floor(F.col("_index") / size).cast("bigint")).drop("_index")
-    numbered = dense_index(df, [F.col(within), *order], "_index")
-    firsts = numbered.groupBy(F.col(within).alias("_group")).agg(F.min("_index").alias("_first"))
-    placed = numbered.join(firsts, F.col(within).eqNullSafe(F.col("_group")))
-    chunk = F.floor((F.col("_index") - F.col("_first")) / size).cast("bigint")
-    return placed.withColumn(name, chunk).drop("_index", "_first", "_group")
+def assign_chunks(df: DataFrame, order: list[Column], size: int = 100, name: str = "chunk") -> DataFrame:
+    """Put rows into consecutive chunks of ``size`` in the given order."""
+    numbered = dense_index(df, order, "_index")
+    return numbered.withColumn(name, F.floor(F.col("_index") / size).cast("bigint")).drop("_index")

@@ -74,3 +74,17 @@ pr as (select user_id, n, last_ts, case when n is null then 'low' when n >= 75 t
 
 def day_string(column: str) -> F.Column:
     return F.date_format(F.col(column), "yyyy-MM-dd")
+
+
+def half_up_avg(x: str, digits: int = 2, divisor: int = 1) -> str:
+    """SQL for the average of whole numbers over ``divisor``, rounded half up.
+
+    Written in whole numbers: ``round`` on a double may round 4.975 down, as it is stored below that.
+    """
+    scale = 10**digits
+    return f"(2 * {scale} * sum({x}) + count({x}) * {divisor}) // (2 * {divisor} * count({x})) / cast({scale} as double)"
+
+
+def half_up_percent(part: str, total: str) -> str:
+    """SQL for a percentage of whole numbers with two digits, rounded half up."""
+    return f"(20000 * ({part}) + ({total})) // (2 * ({total})) / cast(100 as double)"

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tierkeep.functions.measures import step_label
 from tierkeep.functions.texts import change_hash
+from tierkeep.operators.envelope import batched
 from tierkeep.operators.keys import assign_chunks, dense_index
 from tierkeep.operators.latest import latest_per_key
 from tierkeep.operators.scd2 import Dimension, as_of, as_of_join, classify, history_from_snapshots, merge
 from tierkeep.operators.updates import update_matched, update_where
 from tierkeep.plans.gold import price_statistics
 from tierkeep.plans.health import version_census
-from tierkeep.queries.bindings import HISTORY_SQL, OBSERVATIONS_SQL, day_string, discount_history, observations
+from tierkeep.queries.bindings import HISTORY_SQL, OBSERVATIONS_SQL, day_string, discount_history, half_up_avg, observations
 from tierkeep.queries.registry import query, table
 
 DISCOUNT = Dimension(key="app_id", tracked=("discount_percent",), surrogate="item_sk")
@@ -201,7 +202,7 @@ def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     "price_series",
     f"""{HISTORY_SQL}
 select app_id, count(*) points, min(discount_percent) lowest, max(discount_percent) highest,
-       round(avg(discount_percent), 4) average from hist group by app_id""",
+       {half_up_avg("discount_percent", 4)} average from hist group by app_id""",
 )
 def price_series_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_statistics(discount_history(spark, sf_dir), "discount_percent")
@@ -251,14 +252,15 @@ def chunk_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "chunk_assign_within",
-    """select o_orderkey, o_orderpriority, cast(floor((row_number() over (partition by o_orderpriority
-       order by o_orderkey) - 1) / 100) as bigint) chunk from orders""",
+    "batch_assign",
+    """select o_orderkey, concat(o_orderpriority, '-', cast((row_number() over (order by o_orderpriority, o_orderkey) - 1) // 100
+       as varchar)) batch from orders""",
 )
-def chunk_assign_within(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks that restart for every order priority."""
+def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of at most 100 orders of one priority."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    return assign_chunks(orders, [F.col("o_orderkey")], within="o_orderpriority")
+    rows = batched(orders, [F.col("o_orderkey")], "o_orderpriority")
+    return rows.select("o_orderkey", F.col("_batch").alias("batch"))
 
 
 @query(

@@ -90,12 +90,12 @@ so as (select *, year(l_shipdate) run, row_number() over (partition by l_partkey
 st as (select p.*, run, l_shipdate shipped, l_linestatus = 'O' coming_soon, l_linenumber <> 7 and l_returnflag <> 'R' ok,
               p_type = 'PROMO' is_free, cast(round(p_retailprice * 100) as int) cents, cast(round(l_discount * 100) as int) pct,
               case when p_size > 12 then p_size * 2 end score,
-              concat(run, '-', cast((row_number() over (partition by run order by l_partkey) - 1) // 100 as varchar)) batch
+              concat(run, '-', cast((row_number() over (order by run, l_partkey) - 1) // 100 as varchar)) batch
        from so join part p on p_partkey = l_partkey where rn = 1)"""
 
 
 def store_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses unwrapped, validated, stamped and put into batches of 100 per year."""
+    """Responses unwrapped, validated, stamped and put into batches of up to 100 per year."""
     rows = batched(store_responses(spark, sf_dir), [F.col("app_id")], "run")
     succeeded, data = unwrap_keyed(F.col("response"), F.col("app_id"), store_ddl())
     rows = rows.withColumns({"_ok": succeeded, "_data": data})

@@ -10,7 +10,7 @@ from tierkeep.functions.texts import digits_or_zero, joined, mentions
 from tierkeep.operators.updates import refresh_values
 from tierkeep.plans.gold import kpi_cards, shares
 from tierkeep.plans.health import table_health, within_retention
-from tierkeep.queries.bindings import ACTIVITY_SQL, activity, percent
+from tierkeep.queries.bindings import ACTIVITY_SQL, activity, half_up_avg, half_up_percent, percent
 from tierkeep.queries.registry import query, table
 
 
@@ -34,14 +34,14 @@ def star_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.withColumn("popularity", popularity(F.col("recent_orders"), F.col("positive_ratio")))
 
 
-_GENRE_SQL = """
+_GENRE_SQL = f"""
 x as (select p_partkey, unnest(string_split(p_name, ' ')) genre, p_type = 'PROMO' free,
              cast(round(p_retailprice * 100) as bigint) cents, p_size from part),
 g as (select genre, count(distinct p_partkey) items, count(*) filter (where free) free_items,
-             round(avg(case when not free then cents end) / 100, 2) avg_price,
+             {half_up_avg("case when not free then cents end", 2, 100)} avg_price,
              round(min(case when not free then cents end) / 100, 2) min_price,
              round(max(case when not free then cents end) / 100, 2) max_price,
-             cast(sum(p_size) as bigint) total_size, round(avg(p_size), 2) avg_size,
+             cast(sum(p_size) as bigint) total_size, {half_up_avg("p_size")} avg_size,
              count(*) filter (where p_size > 25) large_items from x group by genre)"""
 
 
@@ -68,7 +68,7 @@ def _genres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "group_summary",
-    f"with {_GENRE_SQL} select *, round(free_items / cast(items as double) * 100, 2) percent_free from g",
+    f"with {_GENRE_SQL} select *, {half_up_percent('free_items', 'items')} percent_free from g",
 )
 def genre_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _genres(spark, sf_dir).withColumn("percent_free", percent_of(F.col("free_items"), F.col("items")))
@@ -77,7 +77,7 @@ def genre_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "group_share",
     f"""with {_GENRE_SQL}
-select genre, items, round(items / cast((select sum(items) from g) as double) * 100, 2) share_percent from g""",
+select genre, items, {half_up_percent("items", "select sum(items) from g")} share_percent from g""",
 )
 def group_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(_genres(spark, sf_dir), "genre", "items")
@@ -88,8 +88,8 @@ def group_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""with {ACTIVITY_SQL},
 d as (select l_partkey k, max(cast(round(l_discount * 100) as int)) pct from lineitem group by 1)
 select count(*) total_games, cast(sum(n) as bigint) total_players,
-       round(avg(case when p_type <> 'PROMO' then cast(round(p_retailprice * 100) as bigint) end) / 100, 2) avg_price_usd,
-       round(count(*) filter (where pct > 5) / cast(count(*) as double) * 100, 2) on_sale_percent,
+       {half_up_avg("case when p_type <> 'PROMO' then cast(round(p_retailprice * 100) as bigint) end", 2, 100)} avg_price_usd,
+       {half_up_percent("count(*) filter (where pct > 5)", "count(*)")} on_sale_percent,
        round(avg(cast(purchases as double) / n), 4) avg_rating
 from part left join act on user_id = p_partkey left join d on k = p_partkey""",
 )

@@ -19,7 +19,7 @@ from tierkeep.plans.gold import (
 )
 from tierkeep.plans.health import table_health, version_census
 from tierkeep.plans.silver import landing_path, run_silver, run_totals
-from tierkeep.queries.bindings import day_string
+from tierkeep.queries.bindings import day_string, half_up_avg, half_up_percent
 from tierkeep.queries.landing import PLAYERS_SQL, REVIEWS_SQL, STORE_SQL, player_records, review_records, store_records
 from tierkeep.queries.registry import query
 from tierkeep.session import scratch_path
@@ -230,13 +230,13 @@ def gold_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SUMMARY_SQL = f"""{STAR_SQL},
 x as (select *, unnest(string_split(p_name, ' ')) genre from star),
 gs as (select genre, count(distinct p_partkey) game_count, count(*) filter (where is_free) free_games_count,
-       round(avg(case when not is_free then final end) / 100, 2) avg_price_usd,
+       {half_up_avg("case when not is_free then final end", 2, 100)} avg_price_usd,
        round(min(case when not is_free then final end) / 100, 2) min_price_usd,
        round(max(case when not is_free then final end) / 100, 2) max_price_usd,
-       round(avg(disc), 2) avg_discount_percent, count(*) filter (where disc > 0) games_on_sale_count,
-       cast(sum(total) as bigint) total_reviews, round(avg(ratio), 4) avg_positive_ratio, round(avg(rscore), 2) avg_review_score,
-       round(avg(score), 2) avg_metacritic_score, count(score) games_with_metacritic, cast(sum(players) as bigint) total_current_players,
-       round(avg(players), 0) avg_players_per_game, cast(max(players) as int) max_players_single_game from x group by genre)"""
+       {half_up_avg("disc")} avg_discount_percent, count(*) filter (where disc > 0) games_on_sale_count,
+       cast(sum(total) as bigint) total_reviews, round(avg(ratio), 4) avg_positive_ratio, {half_up_avg("rscore")} avg_review_score,
+       {half_up_avg("score")} avg_metacritic_score, count(score) games_with_metacritic, cast(sum(players) as bigint) total_current_players,
+       {half_up_avg("players", 0)} avg_players_per_game, cast(max(players) as int) max_players_single_game from x group by genre)"""
 
 
 def gold_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,8 +245,8 @@ def gold_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "genre_summary",
-    f"""{_SUMMARY_SQL} select *, round(free_games_count / cast(game_count as double) * 100, 2) percent_free,
-       round(games_on_sale_count / cast(game_count as double) * 100, 2) percent_on_sale, '2002-01-01' _refreshed_at from gs""",
+    f"""{_SUMMARY_SQL} select *, {half_up_percent("free_games_count", "game_count")} percent_free,
+       {half_up_percent("games_on_sale_count", "game_count")} percent_on_sale, '2002-01-01' _refreshed_at from gs""",
 )
 def gold_genre_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 19-column genre table."""
@@ -255,8 +255,8 @@ def gold_genre_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "players_by_genre",
-    f"""{_SUMMARY_SQL} select genre, total_current_players, round(total_current_players /
-       (select cast(sum(total_current_players) as double) from gs) * 100, 2) share_percent from gs""",
+    f"""{_SUMMARY_SQL} select genre, total_current_players, {half_up_percent("total_current_players",
+       "select sum(total_current_players) from gs")} share_percent from gs""",
 )
 def players_by_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(gold_genres(spark, sf_dir), "genre", "total_current_players")
@@ -285,8 +285,8 @@ def top_played(spark: SparkSession, sf_dir: str) -> DataFrame:
     "overview_cards",
     f"""{_METRICS_SQL}
 select count(*) total_games, cast(sum(current_players) as bigint) total_players,
-       round(avg(case when not is_free then price_final_cents end) / 100, 2) avg_price_usd,
-       round(count(*) filter (where is_on_sale) / cast(count(*) as double) * 100, 2) on_sale_percent,
+       {half_up_avg("case when not is_free then price_final_cents end", 2, 100)} avg_price_usd,
+       {half_up_percent("count(*) filter (where is_on_sale)", "count(*)")} on_sale_percent,
        round(avg(positive_ratio), 4) avg_rating from gm""",
 )
 def overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,7 +305,7 @@ def item_price_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "price_statistics",
     f"""{_POINTS_SQL} select app_id, count(*) points, min(price_final_cents) lowest, max(price_final_cents) highest,
-       round(avg(price_final_cents), 4) average from ph group by app_id""",
+       {half_up_avg("price_final_cents", 4)} average from ph group by app_id""",
 )
 def item_price_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_statistics(gold_points(spark, sf_dir))
