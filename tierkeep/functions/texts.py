@@ -49,11 +49,13 @@ def any_of(conditions: Iterable[Column]) -> Column:
 
 def mentions(text: Column, words: Sequence[str] = ADD_ON_WORDS, whole_word: bool = False) -> Column:
     """True when the lower-cased text holds any of the words (as substrings by default)."""
-    lowered = F.lower(text)
     if whole_word:
         choices = "|".join(re.escape(word.strip()) for word in words)
-        return lowered.rlike(rf"\b(?:{choices})\b")
-    return any_of(F.contains(lowered, F.lit(word)) for word in words)
+        return F.lower(text).rlike(rf"\b(?:{choices})\b")
+    # a word that holds another one of the list cannot add a match
+    needed = [word for word in words if not any(other != word and other in word for other in words)]
+    # the one-element array binds the lower-cased text, which would else be made anew per word
+    return F.exists(F.array(F.lower(text)), lambda lowered: any_of(F.contains(lowered, F.lit(w)) for w in needed))
 
 
 def joined(values: Column, separator: str = ", ") -> Column:
