@@ -1,0 +1,82 @@
+"""Small landed batch documents for the end-to-end tests."""
+
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+from tierkeep.plans.silver import landing_path
+
+
+def record(batch, source, app_id, at, raw, ok=True):
+    return {
+        "metadata": {
+            "record_id": f"{batch}-{source}-{app_id}", "batch_id": batch, "source": source, "source_endpoint": "e",
+            "ingested_at": at, "api_response_time_ms": 1.5, "status": "success" if ok else "failed",
+            "error_message": None if ok else "refused", "request_params": {"app_id": app_id},
+            "environment": "development", "pipeline_version": "0.1.0",
+        },
+        "raw_data": raw if ok else {"error": "refused"},
+    }
+
+
+def land(root, kind, day, batch, records, pretty=False):
+    """One batch document; ``pretty`` spreads it over lines, the form that needs ``multi_line``."""
+    folder = Path(landing_path(str(root), kind)) / f"date={day}"
+    folder.mkdir(parents=True, exist_ok=True)
+    document = {"batch_id": batch, "source": f"{kind}_api", "started_at": f"{day}T00:00:00", "completed_at": f"{day}T01:00:00",
+                "records": records}
+    (folder / f"batch_{batch}.json").write_text(json.dumps(document, indent=2 if pretty else None))
+
+
+def item(app_id, final, discount=0, genres=("Action",), free=False, score=None, name=None, **more):
+    body = {"item_id": app_id, "name": name or f"Item {app_id}", "type": "game", "is_free": free,
+            "developers": ["Dev A", "Dev B"], "publishers": ["Pub"], "platforms": {"windows": True, "mac": False, "linux": True},
+            "categories": [{"id": 1, "description": "Single"}], "release_date": {"coming_soon": False, "date": "Dec 10, 2020"},
+            "genres": None if genres is None else [{"id": str(i), "description": g} for i, g in enumerate(genres)], **more}
+    if not free:
+        body["price_overview"] = {"currency": "USD", "initial": 5999, "final": final, "discount_percent": discount}
+    if score is not None:
+        body["metacritic"] = {"score": score, "url": ""}
+    return body
+
+
+def reviews(positive, negative, score=8):
+    return {"success": 1, "query_summary": {"num_reviews": 0, "review_score": score, "review_score_desc": "Very Positive",
+            "total_positive": positive, "total_negative": negative, "total_reviews": positive + negative}}
+
+
+def players(count):
+    return {"player_count": count, "result": 1}
+
+
+def first_day(root, pretty=False):
+    day, at = "2024-01-01", "2024-01-01T10:00:00"
+    land(root, "store", day, "s1", [
+        record("s1", "store_api", 1, at, item(1, 2999, 50, ("Action", "RPG"), score=86)),
+        record("s1", "store_api", 2, at, item(2, 0, free=True, genres=None)),
+        record("s1", "store_api", 3, at, item(3, 5999, genres=())),
+        record("s1", "store_api", 4, at, None, ok=False),
+    ], pretty)
+    land(root, "reviews", day, "r1", [
+        record("r1", "reviews_api", 1, at, reviews(450000, 120000)),
+        record("r1", "reviews_api", 3, at, reviews(0, 0)),
+    ], pretty)
+    land(root, "player_stats", day, "p1", [
+        record("p1", "player_stats_api", 1, at, players(45000)),
+        record("p1", "player_stats_api", 2, at, players(7)),
+        record("p1", "player_stats_api", 3, at, None, ok=False),
+    ], pretty)
+
+
+def second_day(root, pretty=False):
+    day, at = "2024-01-02", "2024-01-02T10:00:00"
+    land(root, "store", day, "s2", [
+        record("s2", "store_api", 1, at, item(1, 5999, 0, ("Action",), score=86)),
+        record("s2", "store_api", 3, at, item(3, 5999, genres=(), name="Renamed")),
+        record("s2", "store_api", 5, at, item(5, 999, 90, ("RPG",))),
+    ], pretty)
+    land(root, "player_stats", day, "p2", [
+        record("p2", "player_stats_api", 1, at, players(100)),
+        record("p2", "player_stats_api", 1, "2024-01-02T12:00:00", players(200)),
+    ], pretty)

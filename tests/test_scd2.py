@@ -1,0 +1,196 @@
+"""Version history: rules of the merge, the one-pass form, and lookups, against plain Python."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tierkeep.operators.scd2 import Dimension, as_of, as_of_join, classify, history_from_snapshots, merge
+
+DIM = Dimension(key="k", tracked=("v",), surrogate="sk")
+END = datetime(9999, 12, 31, 23, 59, 59)
+
+
+def snapshot(spark, rows):
+    return spark.createDataFrame(rows, "k int, v int, note string")
+
+
+def fold(spark, snapshots, dim=DIM):
+    """All versions after merging snapshots on 1, 2, 3, ... January 2024, and the counts."""
+    current, closed, counts = None, None, []
+    for day, rows in enumerate(snapshots, 1):
+        step = merge(snapshot(spark, rows), current, dim, f"2024-01-{day:02d}")
+        counts.append(step.metrics.first().asDict())
+        current = step.current
+        closed = step.closed if closed is None else closed.unionByName(step.closed)
+    return current, closed, counts
+
+
+def versions(current, closed):
+    rows = current.unionByName(closed, allowMissingColumns=True).collect()
+    found = [(r["k"], r["valid_from"].day, r["v"], r["valid_to"], r["is_current"], r["sk"], r["note"]) for r in rows]
+    return sorted(found, key=lambda v: v[:2])
+
+
+def test_first_load_numbers_rows_in_key_order(spark):
+    current, closed, counts = fold(spark, [[(3, 1, "c"), (1, 1, "a"), (2, None, "b")]])
+    assert [(r["k"], r["sk"]) for r in current.orderBy("k").collect()] == [(1, 1), (2, 2), (3, 3)]
+    assert {r["valid_to"] for r in current.collect()} == {END}
+    assert closed.count() == 0
+    assert counts == [{"processed": 3, "inserted": 3, "updated": 0, "unchanged": 0}]
+
+
+def test_change_closes_and_opens_at_the_same_moment(spark):
+    current, closed, counts = fold(spark, [[(1, 10, "old"), (2, 20, "x")], [(1, 11, "new"), (2, 20, "ignored"), (9, 1, "n")]])
+    assert versions(current, closed) == [
+        (1, 1, 10, datetime(2024, 1, 2), False, 1, "old"),
+        (1, 2, 11, END, True, 3, "new"),
+        (2, 1, 20, END, True, 2, "x"),  # an untracked change alone opens no version
+        (9, 2, 1, END, True, 4, "n"),
+    ]
+    assert counts[1] == {"processed": 3, "inserted": 1, "updated": 1, "unchanged": 1}
+
+
+def test_null_and_value_differ_and_null_equals_null(spark):
+    current, closed, counts = fold(spark, [[(1, None, ""), (2, 5, ""), (3, None, "")], [(1, 4, ""), (2, None, ""), (3, None, "")]])
+    assert counts[1] == {"processed": 3, "inserted": 0, "updated": 2, "unchanged": 1}
+    assert closed.count() == 2
+
+
+def test_rerun_changes_nothing_and_missing_keys_stay(spark):
+    rows = [(1, 1, ""), (2, 2, "")]
+    current, closed, counts = fold(spark, [rows, rows, [(1, 1, "")]])
+    assert [c["unchanged"] for c in counts] == [0, 2, 1]
+    assert current.count() == 2 and closed.count() == 0
+
+
+def test_change_and_back_makes_three_versions(spark):
+    current, closed, _ = fold(spark, [[(1, 1, "")], [(1, 2, "")], [(1, 1, "")]])
+    assert [v[:3] for v in versions(current, closed)] == [(1, 1, 1), (1, 2, 2), (1, 3, 1)]
+
+
+def test_rows_without_key_are_rejected(spark):
+    step = merge(snapshot(spark, [(None, 1, "lost"), (1, 1, "")]), None, DIM, "2024-01-01")
+    assert step.current.count() == 1
+    assert [r["note"] for r in step.rejected.collect()] == ["lost"]
+    assert step.metrics.first()["processed"] == 1
+
+
+def test_new_source_column_is_null_in_old_versions(spark):
+    first = merge(snapshot(spark, [(1, 1, "a"), (2, 2, "b")]), None, DIM, "2024-01-01")
+    wider = snapshot(spark, [(1, 9, "a"), (2, 2, "b")]).withColumn("extra", F.lit("e"))
+    second = merge(wider, first.current, DIM, "2024-01-02")
+    assert {r["k"]: r["extra"] for r in second.current.collect()} == {1: "e", 2: None}
+
+
+def test_hash_and_value_comparison_agree_on_numbers(spark):
+    old = merge(snapshot(spark, [(1, 1, ""), (2, None, ""), (3, 3, "")]), None, DIM, "2024-01-01").current
+    new = snapshot(spark, [(1, 2, ""), (2, None, ""), (3, None, ""), (4, 4, "")])
+    by_hash = Dimension("k", ("v",), "sk", by_hash=True)
+    status = {r["k"]: r["_status"] for r in classify(new, old, DIM).collect()}
+    assert status == {r["k"]: r["_status"] for r in classify(new, old, by_hash).collect()}
+    assert status == {1: "changed", 2: "unchanged", 3: "changed", 4: "new"}
+
+
+values = st.one_of(st.none(), st.integers(0, 2))
+folds = st.lists(st.dictionaries(st.integers(1, 6), values, max_size=6), min_size=1, max_size=4)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(folds)
+def test_folding_equals_plain_python(spark, snapshots):
+    expected, open_versions, next_key = [], {}, 1
+    for day, state in enumerate(snapshots, 1):
+        changed = sorted(k for k, v in state.items() if k in open_versions and open_versions[k]["v"] != v)
+        fresh = sorted(k for k in state if k not in open_versions)
+        for k in [*changed, *fresh]:
+            if k in open_versions:
+                open_versions[k]["to"] = datetime(2024, 1, day)
+            open_versions[k] = {"k": k, "v": state[k], "day": day, "to": END, "sk": next_key}
+            expected.append(open_versions[k])
+            next_key += 1
+    current, closed, counts = fold(spark, [[(k, v, "") for k, v in s.items()] for s in snapshots])
+    plain = [(e["k"], e["day"], e["v"], e["to"], e["to"] == END, e["sk"], "") for e in expected]
+    assert versions(current, closed) == sorted(plain, key=lambda v: v[:2])
+    for state, count in zip(snapshots, counts):
+        assert count["processed"] == len(state) == count["inserted"] + count["updated"] + count["unchanged"]
+
+
+def random_snapshots(keys, rows, seed, hot_share=1 / 3):
+    chance = random.Random(seed)
+    seen = {}
+    for _ in range(rows):
+        k = 0 if chance.random() < hot_share else chance.randrange(1, keys)
+        moment = datetime(2024, 1, 1) + timedelta(minutes=chance.randrange(60 * 24 * 120))
+        seen[(k, moment)] = chance.choice([None, 1, 1, 1, 2])
+    return [(k, moment, v) for (k, moment), v in seen.items()]
+
+
+def plain_history(rows):
+    out = []
+    for key in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == key), key=lambda r: r[1])
+        starts = [r for i, r in enumerate(mine) if i == 0 or r[2] != mine[i - 1][2]]
+        for i, (k, moment, v) in enumerate(starts):
+            last = i + 1 == len(starts)
+            out.append((k, v, moment, END if last else starts[i + 1][1], last))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("slice_by", ["day", "month", "year"])
+def test_sliced_history_equals_plain_python_with_a_hot_key(spark, slice_by):
+    rows = random_snapshots(12, 1500, seed=7)
+    frame = spark.createDataFrame(rows, "k int, t timestamp, v int")
+    history = history_from_snapshots(frame, "k", "t", ["v"], slice_by=slice_by)
+    found = [(r["k"], r["v"], r["valid_from"], r["valid_to"], r["is_current"]) for r in history.collect()]
+    assert sorted(found, key=str) == plain_history(rows)
+
+
+def test_daily_history_equals_the_fold_of_daily_merges(spark):
+    days = [[(k, (k * d * 7) % 3, "") for k in range(1, 8) if (k + d) % 4] for d in range(1, 6)]
+    current, closed, _ = fold(spark, days)
+    flat = [(k, f"2024-01-{d:02d}", v) for d, rows in enumerate(days, 1) for k, v, _ in rows]
+    frame = spark.createDataFrame(flat, "k int, d string, v int").withColumn("d", F.col("d").cast("date"))
+    history = history_from_snapshots(frame, "k", "d", ["v"])
+    once = sorted((r["k"], r["valid_from"].day, r["v"], r["valid_to"], r["is_current"]) for r in history.collect())
+    assert once == [v[:5] for v in versions(current, closed)]
+
+
+def test_versions_abut_and_one_is_current(spark):
+    rows = random_snapshots(8, 600, seed=3)
+    history = history_from_snapshots(spark.createDataFrame(rows, "k int, t timestamp, v int"), "k", "t", ["v"])
+    per_key = {}
+    for r in history.collect():
+        per_key.setdefault(r["k"], []).append((r["valid_from"], r["valid_to"], r["is_current"]))
+    for found in per_key.values():
+        found.sort()
+        assert [f[2] for f in found] == [False] * (len(found) - 1) + [True]
+        assert all(a[1] == b[0] for a, b in zip(found, found[1:]))
+
+
+def test_as_of_is_inclusive_at_the_start_only(spark):
+    current, closed, _ = fold(spark, [[(1, 1, "")], [(1, 2, "")]])
+    history = current.unionByName(closed)
+    assert [r["v"] for r in as_of(history, "2024-01-01 23:59:59").collect()] == [1]
+    assert [r["v"] for r in as_of(history, "2024-01-02").collect()] == [2]
+    assert as_of(history, "2023-12-31").count() == 0
+
+
+@pytest.mark.parametrize("bucket", ["day", "week", "month", "quarter", "year"])
+def test_as_of_join_equals_plain_python(spark, bucket):
+    rows = random_snapshots(6, 300, seed=11)
+    chance = random.Random(5)
+    facts = [(i, 0 if i % 3 == 0 else chance.randrange(0, 8), datetime(2023, 12, 20) + timedelta(minutes=chance.randrange(60 * 24 * 150))) for i in range(400)]
+    history = history_from_snapshots(spark.createDataFrame(rows, "k int, t timestamp, v int"), "k", "t", ["v"]).drop("t")
+    frame = spark.createDataFrame(facts, "f int, k int, at timestamp")
+    found = {(r["f"], r["v"]) for r in as_of_join(frame, history, "k", "at", bucket).collect()}
+    known = plain_history(rows)
+    expected = {(f, v) for f, k, at in facts for key, v, start, end, _ in known if key == k and start <= at < end}
+    assert found == expected
+    kept = as_of_join(frame, history, "k", "at", bucket, how="left")
+    assert kept.count() == len(facts)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkeep.sources.registry import TableSpec, empty_table
+from tierkeep.sources.registry import CATALOG, ITEM_DIM, REVIEW_DIM, TableSpec, empty_table
 from tierkeep.sources.schemas import struct_of
 
 DONE = "_SUCCESS"
@@ -44,8 +44,9 @@ def read(spark: SparkSession, path: str, ddl: str | None = None, merge_schema: b
     """An append table. With a declared schema no footers are merged and absent columns are NULL."""
     reader = spark.read.format(fmt)
     if ddl is not None:
-        reader = reader.schema(struct_of(ddl))
-    elif merge_schema:
+        declared = struct_of(ddl)
+        return reader.schema(declared).load(path).select(*declared.names)
+    if merge_schema:
         reader = reader.option("mergeSchema", "true")
     return reader.load(path)
 
@@ -64,11 +65,14 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     return version
 
 
-def read_replaced(spark: SparkSession, path: str, version: int | None = None, fmt: str = "parquet") -> DataFrame:
+def read_replaced(
+    spark: SparkSession, path: str, version: int | None = None, ddl: str | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """A replaced table. Partition columns keep their declared type only with ``ddl``."""
     number = newest_version(spark, path) if version is None else version
     if number is None:
         raise FileNotFoundError(f"no finished version below {path}")
-    return spark.read.format(fmt).load(f"{path}/v={number}")
+    return read(spark, f"{path}/v={number}", ddl, fmt=fmt)
 
 
 def write_dimension(current: DataFrame, closed: DataFrame, path: str) -> int:
@@ -102,13 +106,31 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return current.withColumn("is_current", F.lit(True)).unionByName(closed)
 
 
+def _is_replaced(spec: TableSpec) -> bool:
+    return spec.tier == "gold" or spec is CATALOG
+
+
+def _is_dimension(spec: TableSpec) -> bool:
+    return spec in (ITEM_DIM, REVIEW_DIM)
+
+
+def read_table(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
+    """A registered table with its declared columns, whatever its layout; dimensions with all versions."""
+    path = spec.path(root)
+    if _is_dimension(spec):
+        return read_history(spark, path)
+    if _is_replaced(spec):
+        return read_replaced(spark, path, ddl=spec.ddl)
+    return read(spark, path, spec.ddl)
+
+
 def create_empty(spark: SparkSession, spec: TableSpec, root: str) -> None:
     """Lay down a declared table without rows."""
     path = spec.path(root)
     empty = empty_table(spark, spec)
-    if "is_current" in empty.columns and spec.tier == "silver":
+    if _is_dimension(spec):
         write_dimension(empty, empty, path)
-    elif spec.tier == "gold" or spec.name == "game_catalog":
-        replace(empty, path)
+    elif _is_replaced(spec):
+        replace(empty, path, spec.partition_by)
     else:
         append(empty, path, spec.partition_by)
