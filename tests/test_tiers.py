@@ -125,6 +125,19 @@ def test_reports(spark, built):
     }
 
 
+def test_current_views(spark, built):
+    assert silver.current_views(spark, built[0]) == ["current_dim_games", "current_dim_game_reviews"]
+    found = spark.sql("select count(*) n, count_if(is_current) c from current_dim_games").first()
+    assert (found["n"], found["c"]) == (4, 4)
+
+
+def test_latest_players_from_the_newest_folder_only(spark, built):
+    stored = gold.stored_latest_players(spark, built[0])
+    general = gold.latest_players(tables.read_table(spark, registry.PLAYER_FACT, built[0]))
+    assert {tuple(r) for r in stored.collect()} == {tuple(r) for r in general.collect()}
+    assert all("snapshot_date=2024-01-02" in f for f in stored.inputFiles())
+
+
 def test_failures_stay_with_their_table(spark, tmp_path):
     root = str(tmp_path)
     landing.first_day(root)

@@ -101,15 +101,14 @@ def success_rate(succeeded: Column, requested: Column) -> Column:
 
 def run_statistics(records: DataFrame, requested: DataFrame, sources: int, succeeded: Column) -> DataFrame:
     """One row for a run: operations are requested keys times sources; no operations is 100 %."""
-    operations = requested.agg((F.count("*") * sources).alias("operations"))
+    operations = requested.select((F.count("*") * sources).alias("operations")).scalar()
     counts = records.agg(
         count_where(succeeded).alias("successful"),
         (F.count("*") - count_where(succeeded)).alias("failed"),
     )
     rate = F.coalesce(success_rate(F.col("successful"), F.col("operations")), F.lit(100.0))
     verdict = F.when(F.col("success_rate") >= GOOD_RUN_PERCENT, STATUS_SUCCESS).otherwise(STATUS_PARTIAL)
-    # both sides are one row
-    return operations.join(counts, how="cross").withColumn("success_rate", rate).withColumn("status", verdict)
+    return counts.withColumn("operations", operations).withColumn("success_rate", rate).withColumn("status", verdict)
 
 
 def run_errors(records: DataFrame) -> DataFrame:

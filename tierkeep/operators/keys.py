@@ -24,13 +24,12 @@ def dense_index(
 
     Rows are range-partitioned and sorted, then checkpointed, so that a lost executor cannot
     change the numbering. Only one row count per partition comes to the driver. ``order`` should
-    be unique (add tie-breakers): equal tuples share a range, and so a task.
+    be unique (add tie-breakers): equal tuples share a range, and so a task. Adaptive execution
+    merges small ranges unless a number of ``partitions`` is given.
     """
-    spark = df.sparkSession
-    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = cut(
-        df.repartitionByRange(ranges, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
     part = F.shiftright(F.col("_place"), _ROW_BITS).cast("int")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkeep.functions.measures import count_where
@@ -12,7 +12,9 @@ from tierkeep.functions.texts import ADD_ON_WORDS, any_of, mentions
 from tierkeep.functions.times import AsOf, as_timestamp, weekday_index
 from tierkeep.operators.facts import unseen
 from tierkeep.operators.updates import changed_between, refresh_values, update_matched
-from tierkeep.sources.schemas import PRIORITIES
+from tierkeep.sources import tables
+from tierkeep.sources.registry import CATALOG
+from tierkeep.sources.schemas import PRIORITIES, struct_of
 
 # Activity limits, days until an entry is stale, and weekdays (0 = Monday) on which
 # a priority is refreshed.
@@ -66,6 +68,47 @@ def refreshed_catalog(catalog: DataFrame, entries: DataFrame, counts: DataFrame,
     return catalog.unionByName(discover_new(catalog, entries, counts, as_of, **options))
 
 
+def typed_catalog(rows: DataFrame) -> DataFrame:
+    """Catalog rows whose times are ISO text, in the declared types; columns not there are NULL."""
+    declared = struct_of(CATALOG.ddl)
+    return rows.select(
+        *[
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in declared.fields
+        ]
+    )
+
+
+def stored_catalog(spark: SparkSession, root: str) -> DataFrame:
+    return tables.read_table(spark, CATALOG, root)
+
+
+def run_discovery(spark: SparkSession, root: str, entries: DataFrame, counts: DataFrame, as_of: AsOf) -> DataFrame:
+    """Store a catalog of all entries and return its statistics."""
+    tables.replace(typed_catalog(build_catalog(entries, counts, as_of)), CATALOG.path(root))
+    return catalog_statistics(stored_catalog(spark, root))
+
+
+def run_refresh(spark: SparkSession, root: str, entries: DataFrame, counts: DataFrame, as_of: AsOf) -> DataFrame:
+    """Add new entries to the stored catalog; one row: previous, added and final count."""
+    before = stored_catalog(spark, root)
+    tables.replace(typed_catalog(refreshed_catalog(before, entries, counts, as_of)), CATALOG.path(root))
+    previous, final = (df.select(F.count("*")).scalar() for df in (before, stored_catalog(spark, root)))
+    return spark.range(1).select(
+        previous.alias("previous_count"), (final - previous).alias("new_games_added"), final.alias("final_count")
+    )
+
+
+def run_sync_update(
+    spark: SparkSession, root: str, attempted: DataFrame, players: DataFrame, as_of: AsOf, only_success: bool = False
+) -> DataFrame:
+    """After an ingestion: stamp the attempted keys, take in fresh counts, return the priority changes."""
+    before = stored_catalog(spark, root)
+    stamped = mark_synced(before, attempted, as_of, only_success)
+    tables.replace(typed_catalog(refresh_priorities(stamped, players)), CATALOG.path(root))
+    return priority_changes(before, stored_catalog(spark, root))
+
+
 def scheduled(priority: Column, as_of: AsOf) -> Column:
     """Whether a priority is due on the weekday of ``as_of``."""
     today = weekday_index(as_timestamp(as_of))

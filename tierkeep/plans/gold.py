@@ -18,17 +18,27 @@ from tierkeep.functions.measures import (
 )
 from tierkeep.functions.texts import joined
 from tierkeep.functions.times import AsOf, as_timestamp, day_text, run_stamp
-from tierkeep.operators.latest import latest_partition
+from tierkeep.operators.latest import latest_partition, latest_per_key
 from tierkeep.sources import registry, tables
 from tierkeep.sources.schemas import struct_of
 
 RESULT_DDL = "table_name string, records bigint, seconds double, success boolean, error string"
 
 
+def _newest_count() -> list[Column]:
+    return [F.desc("snapshot_timestamp"), F.desc("_source_batch_id"), F.desc("player_count")]
+
+
 def latest_players(fact: DataFrame) -> DataFrame:
     """The newest snapshot day's counts, the last one of that day per item."""
-    newest = [F.desc("snapshot_timestamp"), F.desc("_source_batch_id"), F.desc("player_count")]
-    return latest_partition(fact, F.col("snapshot_date"), ["app_id"], newest)
+    return latest_partition(fact, F.col("snapshot_date"), ["app_id"], _newest_count())
+
+
+def stored_latest_players(spark: SparkSession, silver_root: str) -> DataFrame:
+    """The same from the stored fact, opening only the newest day's folder."""
+    spec = registry.PLAYER_FACT
+    newest = tables.read_newest_partition(spark, spec.path(silver_root), "snapshot_date", spec.ddl)
+    return latest_per_key(newest, ["app_id"], _newest_count())
 
 
 def with_reviews_and_players(items: DataFrame, reviews: DataFrame, players: DataFrame) -> DataFrame:
@@ -194,11 +204,8 @@ def run_gold(
             raise FileNotFoundError(f"no current rows in {spec.name}")
         return frame
 
-    def players() -> DataFrame:
-        return latest_players(tables.read(spark, registry.PLAYER_FACT.path(silver_root), registry.PLAYER_FACT.ddl))
-
     def parts() -> tuple[DataFrame, DataFrame, DataFrame]:
-        return current(registry.ITEM_DIM), current(registry.REVIEW_DIM), players()
+        return current(registry.ITEM_DIM), current(registry.REVIEW_DIM), stored_latest_players(spark, silver_root)
 
     products: dict[str, tuple[registry.TableSpec, Callable[[], DataFrame]]] = {
         "item_metrics": (registry.ITEM_METRICS, lambda: item_metrics(*parts(), stamp)),

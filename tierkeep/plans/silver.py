@@ -13,6 +13,7 @@ from tierkeep.functions.times import AsOf, as_timestamp, day_text, run_stamp
 from tierkeep.operators.facts import append_counts, unseen
 from tierkeep.operators.latest import latest_per_key
 from tierkeep.operators.scd2 import Dimension, merge
+from tierkeep.session import cut
 from tierkeep.sources import registry, tables
 from tierkeep.sources.batches import read_batches
 from tierkeep.sources.schemas import (
@@ -113,18 +114,37 @@ def merge_dimension(spark: SparkSession, source: DataFrame, dim: Dimension, path
     return merged.metrics
 
 
-def append_players(spark: SparkSession, source: DataFrame, path: str, as_of: AsOf) -> DataFrame:
-    """Append the batches not stored yet and return the counts."""
-    existing = None
+def append_players(
+    spark: SparkSession, source: DataFrame, path: str, as_of: AsOf, since: str | None = None
+) -> DataFrame:
+    """Append the batches not stored yet and return the counts.
+
+    The rows are narrow and used twice, so they are kept instead of parsing the documents again.
+    With ``since`` (no source row is older) only the fact's folders from that day on are searched.
+    """
+    source, existing = cut(source), None
     if tables.exists(spark, path):
         existing = tables.read(spark, path, registry.PLAYER_FACT.ddl)
-    # decided before the write, or the write's own rows would count as seen
-    counts = spark.createDataFrame(append_counts(source, existing, "_source_batch_id").collect(), "processed bigint, inserted bigint, updated bigint, unchanged bigint")
+        if since is not None:
+            existing = existing.filter(F.col("snapshot_date") >= since)
+    # decided before the write, or the write's own rows would count as seen; one row
+    counts = cut(append_counts(source, existing, "_source_batch_id"))
     fresh = source if existing is None else unseen(source, existing, "_source_batch_id")
     tables.append(fresh.withColumn("_created_at", as_timestamp(as_of)), path, registry.PLAYER_FACT.partition_by)
     return counts
 
 
+def current_views(spark: SparkSession, silver_root: str) -> list[str]:
+    """Register the dimensions' current rows as temporary views ``current_<table>``."""
+    names = []
+    for spec in (registry.ITEM_DIM, registry.REVIEW_DIM):
+        rows = tables.read_current(spark, spec.path(silver_root))
+        if rows is not None:
+            rows.createOrReplaceTempView(f"current_{spec.name}")
+            names.append(f"current_{spec.name}")
+    return names
+
+
 def isolated(spark: SparkSession, name: str, step: Callable[[], DataFrame]) -> DataFrame:
     """Run one table's step; a failure becomes a result row and leaves the other tables alone."""
     try:
@@ -163,7 +183,7 @@ def run_silver(
         ),
         "players": (
             registry.PLAYER_FACT,
-            lambda path: append_players(spark, player_rows(landed("player_stats", PLAYERS_DDL)), path, stamp),
+            lambda path: append_players(spark, player_rows(landed("player_stats", PLAYERS_DDL)), path, stamp, since),
         ),
     }
     results = [

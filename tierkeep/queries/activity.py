@@ -24,6 +24,7 @@ from tierkeep.plans.catalog import (
     refreshed_catalog,
     scheduled,
     sync_estimates,
+    typed_catalog,
 )
 from tierkeep.plans.gold import top_items
 from tierkeep.queries.bindings import ACTIVITY_SQL, LIMITS, PRIORITY_SQL, activity
@@ -202,6 +203,26 @@ def schedule_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.date_format("d", "yyyy-MM-dd").alias("day"), "priority", scheduled(F.col("priority"), F.col("d")).alias("due"))
 
 
+@query(
+    "catalog_rows",
+    f"""with {PRIORITY_SQL}
+select cast(user_id as int) app_id, cast(n as int) player_count, priority, strftime(last_ts, '%Y-%m-%d %H:%M:%S') discovered,
+       cast(null as varchar) "name" from pr""",
+)
+def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog rows whose times come as ISO text, brought to the declared types."""
+    users = activity(spark, sf_dir).select(
+        F.col("user_id").alias("app_id"),
+        F.col("n").alias("player_count"),
+        priority_of(F.col("n"), limits=LIMITS).alias("priority"),
+        F.date_format("last_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("discovered_at"),
+    )
+    typed = typed_catalog(users)
+    return typed.select(
+        "app_id", "player_count", "priority", F.date_format("discovered_at", "yyyy-MM-dd HH:mm:ss").alias("discovered"), "name"
+    )
+
+
 _HALVES_SQL = """with a as (select user_id, count(*) n from events where ts < timestamp '2024-01-30' group by 1),
 b as (select user_id, count(*) n from events where ts >= timestamp '2024-01-30' group by 1),
 m as (select a.user_id, a.n old_n, coalesce(b.n, a.n) new_n from a left join b on a.user_id = b.user_id),

@@ -12,11 +12,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tierkeep.sources.registry import CATALOG, ITEM_DIM, REVIEW_DIM, TableSpec, empty_table
 from tierkeep.sources.schemas import struct_of
 
+# Marker of a finished write, folder name of the NULL partition.
 DONE = "_SUCCESS"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -99,13 +102,31 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
         raise FileNotFoundError(f"no dimension below {path}")
     current = read_replaced(spark, f"{path}/current", version)
     closed = (
-        spark.read.schema(current.schema)
-        .parquet(*[f"{path}/closed/v={n}" for n in range(version + 1)])
+        spark.read.schema(StructType([*current.schema.fields, StructField("v", IntegerType())]))
+        .parquet(f"{path}/closed")
+        .filter(F.col("v") <= version)
+        .drop("v")
         .withColumn("is_current", F.lit(False))
     )
     return current.withColumn("is_current", F.lit(True)).unionByName(closed)
 
 
+def read_newest_partition(spark: SparkSession, path: str, column: str, ddl: str) -> DataFrame:
+    """Only the folder with the highest value of a text partition column.
+
+    The folder names tell the value, so neither the files of older partitions are listed nor their
+    footers read. A table without partitions is returned as it is, empty.
+    """
+    fs, where = _folder(spark, path)
+    names = [entry.getPath().getName() for entry in fs.listStatus(where)] if fs.exists(where) else []
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=") and NULL_PARTITION not in n]
+    if not values:
+        return read(spark, path, ddl)
+    declared = struct_of(ddl)
+    reader = spark.read.schema(declared).option("basePath", path)
+    return reader.parquet(f"{path}/{column}={max(values)}").select(*declared.names)
+
+
 def _is_replaced(spec: TableSpec) -> bool:
     return spec.tier == "gold" or spec is CATALOG
 
