@@ -26,11 +26,8 @@ from tierkeep.sources.batches import documents_statistics, read_batches, write_b
 from tierkeep.sources.schemas import PLAYERS_DDL, REVIEWS_CORE_DDL, reviews_ddl, store_core_ddl, store_ddl, struct_of
 
 
-def store_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One store response per part and ship year, from the part's last line of that year.
-
-    Returned lines answer with success false; lines numbered 7 answer for no key at all.
-    """
+def store_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One store request per part and ship year, with the part's last line of that year."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
         F.year("l_shipdate").alias("run"), percent("l_discount").alias("pct"),
@@ -38,9 +35,17 @@ def store_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = [F.desc("l_shipdate"), F.desc("l_orderkey"), F.desc("l_linenumber")]
     seen = latest_per_key(lines, ["l_partkey", "run"], newest)
     parts = table(spark, sf_dir, "part")
+    return seen.join(parts, F.col("l_partkey") == F.col("p_partkey")).withColumn("app_id", F.col("p_partkey"))
+
+
+def answered(requests: DataFrame) -> DataFrame:
+    """Requests with the store's response text.
+
+    Returned lines answer with success false; lines numbered 7 answer for no key at all.
+    """
     cents = F.round(F.col("p_retailprice") * 100).cast("int")
     paid = F.col("p_type") != "PROMO"
-    rows = seen.join(parts, F.col("l_partkey") == F.col("p_partkey")).withColumn("cents", cents)
+    rows = requests.withColumns({"cents": cents, "ingested_at": F.col("l_shipdate").cast("timestamp")})
     item = F.struct(
         F.lit("game").alias("type"),
         F.col("p_name").alias("name"),
@@ -76,12 +81,12 @@ def store_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = F.to_json(F.create_map(F.col("p_partkey").cast("string"), F.struct(F.lit(True).alias("success"), item.alias("data"))))
     bad = F.to_json(F.create_map(F.col("p_partkey").cast("string"), F.struct(F.lit(False).alias("success"))))
     response = F.when(F.col("l_linenumber") == 7, F.lit("{}")).when(F.col("l_returnflag") == "R", bad).otherwise(good)
-    return rows.select(
-        F.col("p_partkey").alias("app_id"),
-        "run",
-        F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
-        response.alias("response"),
-    )
+    kept = [c for c in ("app_id", "run", "ingested_at", "_batch") if c in rows.columns]
+    return rows.select(*kept, response.alias("response"))
+
+
+def store_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return answered(store_requests(spark, sf_dir))
 
 
 STORE_SQL = """
@@ -95,8 +100,8 @@ st as (select p.*, run, l_shipdate shipped, l_linestatus = 'O' coming_soon, l_li
 
 
 def store_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses unwrapped, validated, stamped and put into batches of up to 100 per year."""
-    rows = batched(store_responses(spark, sf_dir), [F.col("app_id")], "run")
+    """Requests put into batches of up to 100 per year; responses unwrapped, validated and stamped."""
+    rows = answered(batched(store_requests(spark, sf_dir), [F.col("app_id")], "run"))
     succeeded, data = unwrap_keyed(F.col("response"), F.col("app_id"), store_ddl())
     rows = rows.withColumns({"_ok": succeeded, "_data": data})
     rows = c.checked(rows, c.store_rules(F.col("_data")), "_broken")

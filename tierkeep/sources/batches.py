@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierkeep.operators.envelope import batch_statistics
+from tierkeep.sources.folders import by_folder
 from tierkeep.sources.schemas import METADATA_DDL, STATUS_SUCCESS, batch_schema, struct_of
 
 
@@ -64,7 +65,7 @@ def batch_documents(records: DataFrame) -> DataFrame:
 def write_batches(records: DataFrame, path: str) -> None:
     """Append batch documents under ``date=YYYY-MM-DD``, the day the batch started."""
     documents = batch_documents(records).withColumn("date", F.substring("started_at", 1, 10))
-    documents.write.mode("append").partitionBy("date").json(path)
+    by_folder(documents, ["date"]).write.mode("append").partitionBy("date").json(path)
 
 
 def documents_statistics(spark: SparkSession, path: str, payload_ddl: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from tierkeep.sources.folders import by_folder
 from tierkeep.sources.registry import CATALOG, ITEM_DIM, REVIEW_DIM, TableSpec, empty_table
 from tierkeep.sources.schemas import struct_of
 
@@ -56,7 +57,7 @@ def read(spark: SparkSession, path: str, ddl: str | None = None, merge_schema: b
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Add rows; columns may differ from those written before (see ``read``)."""
-    df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
+    by_folder(df, partition_by).write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
