@@ -22,8 +22,8 @@ def dense_index(
 ) -> DataFrame:
     """Number rows ``start, start+1, ...`` in the given order, spread over all tasks.
 
-    Rows are range-partitioned and sorted, then checkpointed, so that a lost executor cannot
-    change the numbering. Only one row count per partition comes to the driver. ``order`` should
+    Rows are range-partitioned and sorted, then written, so that a lost executor cannot change the
+    numbering. Only one row count per partition comes to the driver. ``order`` should
     be unique (add tie-breakers): equal tuples share a range, and so a task. Adaptive execution
     merges small ranges unless a number of ``partitions`` is given.
     """

@@ -80,7 +80,7 @@ def merge(source: DataFrame, current: DataFrame | None, dim: Dimension, as_of: A
     """Fold one snapshot (one row per key) into a dimension's current slice.
 
     Only the current slice takes part; versions closed earlier are never read or rewritten.
-    Every output derives from one checkpointed classification and one run stamp, so closing and
+    Every output derives from one written classification and one run stamp, so closing and
     opening abut and no output can see a half-applied state. Surrogate keys continue densely,
     changed keys first, each group in key order. Rows without a key are returned as rejected.
     """

@@ -166,8 +166,8 @@ def top_items(df: DataFrame, by: str, count: int = 10, tie: str = "app_id") -> D
     return df.orderBy(F.desc_nulls_last(by), tie).limit(count)
 
 
-def price_series(history: DataFrame, app_id: int) -> DataFrame:
-    """One item's price points in order."""
+def price_series(history: DataFrame, app_id: int | Column) -> DataFrame:
+    """One item's price points in order; the item may be given by a scalar subquery."""
     points = history.filter(F.col("app_id") == app_id)
     return points.select(
         "name", "price_final_usd", "discount_tier", "price_effective_from", "is_current"

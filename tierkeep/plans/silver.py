@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ REVIEWS = Dimension(
 
 RESULT_DDL = """
     table_name string, processed bigint, inserted bigint, updated bigint, unchanged bigint,
-    success boolean, error string
+    seconds double, success boolean, error string
 """
 
 
@@ -147,12 +148,13 @@ def current_views(spark: SparkSession, silver_root: str) -> list[str]:
 
 def isolated(spark: SparkSession, name: str, step: Callable[[], DataFrame]) -> DataFrame:
     """Run one table's step; a failure becomes a result row and leaves the other tables alone."""
+    begun = time.monotonic()
     try:
         row = step().first()
-        values = (name, row["processed"], row["inserted"], row["updated"], row["unchanged"], True, None)
+        counts, outcome = (row["processed"], row["inserted"], row["updated"], row["unchanged"]), (True, None)
     except Exception as problem:  # any failure of one table is reported, not raised
-        values = (name, 0, 0, 0, 0, False, str(problem))
-    return spark.createDataFrame([values], RESULT_DDL)
+        counts, outcome = (0, 0, 0, 0), (False, str(problem))
+    return spark.createDataFrame([(name, *counts, time.monotonic() - begun, *outcome)], RESULT_DDL)
 
 
 def run_silver(
@@ -207,5 +209,6 @@ def run_totals(results: DataFrame) -> DataFrame:
         F.sum("processed").alias("total_processed"),
         F.sum("inserted").alias("total_inserted"),
         F.sum("updated").alias("total_updated"),
+        F.sum("seconds").alias("seconds"),
         F.bool_and("success").alias("all_successful"),
     )

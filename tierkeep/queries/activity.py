@@ -27,7 +27,7 @@ from tierkeep.plans.catalog import (
     typed_catalog,
 )
 from tierkeep.plans.gold import top_items
-from tierkeep.queries.bindings import ACTIVITY_SQL, LIMITS, PRIORITY_SQL, activity
+from tierkeep.queries.bindings import ACTIVITY_SQL, LIMITS, PRIORITY_SQL, activity, day_string
 from tierkeep.queries.registry import query, table
 
 
@@ -56,11 +56,11 @@ def latest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "status_filter",
-    """select event_id, user_id, cast(ts as date) as "day" from events where event_type <> 'error'""",
+    """select event_id, user_id, strftime(ts, '%Y-%m-%d') as "day" from events where event_type <> 'error'""",
 )
 def status_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
-    return events.select("event_id", "user_id", F.col("ts").cast("date").alias("day"))
+    return events.select("event_id", "user_id", day_string("ts").alias("day"))
 
 
 @query(
@@ -75,14 +75,14 @@ def positive_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "batch_stats",
-    """select cast(ts as date) batch, count(*) total_requested,
+    """select strftime(ts, '%Y-%m-%d') batch, count(*) total_requested,
        count(*) filter (where event_type <> 'error') total_success,
        count(*) filter (where event_type = 'error') total_failed,
        count(*) filter (where event_type <> 'error') / cast(count(*) as double) * 100 success_rate
        from events group by 1""",
 )
 def batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn("batch", F.col("ts").cast("date"))
+    events = table(spark, sf_dir, "events").withColumn("batch", day_string("ts"))
     return batch_statistics(events, ["batch"], F.col("event_type") != "error")
 
 
@@ -116,9 +116,9 @@ def append_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_counts(events, events.filter(F.col("batch") <= "2024-01-20"), "batch")
 
 
-@query("distinct_batches", "select distinct cast(ts as date) batch from events")
+@query("distinct_batches", "select distinct strftime(ts, '%Y-%m-%d') batch from events")
 def distinct_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("batch")).distinct()
+    return table(spark, sf_dir, "events").select(day_string("ts").alias("batch")).distinct()
 
 
 @query(

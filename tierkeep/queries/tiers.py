@@ -155,8 +155,8 @@ res as (select table_name, count(*) processed, count(*) filter (where status = '
 
 @query("silver_run", f"{_RUN_SQL} select *, true success, cast(null as varchar) error from res")
 def silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Result rows of the second silver run."""
-    return silver_tiers(spark, sf_dir)[1]
+    """Result rows of the second silver run (durations left out)."""
+    return silver_tiers(spark, sf_dir)[1].drop("seconds")
 
 
 @query(
@@ -165,7 +165,7 @@ def silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
        cast(sum(updated) as bigint) total_updated, true all_successful from res""",
 )
 def silver_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_totals(silver_tiers(spark, sf_dir)[1])
+    return run_totals(silver_tiers(spark, sf_dir)[1]).drop("seconds")
 
 
 @query("silver_census", f"with {DIM_SQL} select cur is_current, count(*) versions from dims group by cur")
@@ -295,11 +295,14 @@ def overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "item_price_series",
-    f"""{_POINTS_SQL} select "name", price_final_usd, discount_tier, price_effective_from, is_current from ph where app_id = 7""",
+    f"""{_POINTS_SQL} select "name", price_final_usd, discount_tier, price_effective_from, is_current from ph
+where app_id = (select app_id from ph group by app_id order by count(*) desc, app_id limit 1)""",
 )
 def item_price_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One item's price points, the report page's selector."""
-    return price_series(gold_points(spark, sf_dir), 7).withColumn("price_effective_from", day_string("price_effective_from"))
+    """The price points of the item with most of them."""
+    points = gold_points(spark, sf_dir)
+    most = top_items(price_statistics(points), "points", 1).select("app_id").scalar()
+    return price_series(points, most).withColumn("price_effective_from", day_string("price_effective_from"))
 
 
 @query(

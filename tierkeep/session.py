@@ -33,8 +33,6 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(named)
         return named
     current = context.getCheckpointDir()
     if current:
@@ -51,6 +49,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so every later use sees the same rows in the same partitions."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a table below the shared folder, so every later use sees the same rows.
+
+    A written table survives lost executors, is compressed, lets later steps read only the columns
+    they need, and has a known size by which Spark chooses its joins.
+    """
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,8 @@
 
 The same steps as a full silver run, fed by a file stream: its checkpoint remembers which files were
 read, so landed history is not read again. A replayed micro-batch changes nothing, because merging a
-snapshot twice finds it unchanged and the fact skips batches it holds.
+snapshot twice finds it unchanged and the fact skips batches it holds. Files are taken in the order they
+landed; a snapshot landing after a newer one needs the full run, which picks the newest of all.
 """
 
 from __future__ import annotations
