@@ -192,5 +192,7 @@ def test_as_of_join_equals_plain_python(spark, bucket):
     known = plain_history(rows)
     expected = {(f, v) for f, k, at in facts for key, v, start, end, _ in known if key == k and start <= at < end}
     assert found == expected
-    kept = as_of_join(frame, history, "k", "at", bucket, how="left")
-    assert kept.count() == len(facts)
+    unkeyed = frame.unionByName(spark.createDataFrame([(-1, None, datetime(2024, 1, 5)), (-2, 1, None)], frame.schema))
+    kept = as_of_join(unkeyed, history, "k", "at", bucket, how="left").collect()
+    assert len(kept) == len(facts) + 2
+    assert {(r["f"], r["v"]) for r in kept if r["valid_from"] is not None} == expected

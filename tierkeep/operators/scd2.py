@@ -203,35 +203,53 @@ def as_of_join(
     history: DataFrame,
     key: str,
     time: str,
-    bucket: str = "year",
+    bucket: str = "month",
     how: str = "inner",
-    span: tuple[AsOf, AsOf] | None = None,
 ) -> DataFrame:
-    """Each fact row with the version of its key valid at the fact's time.
+    """Each fact row with the version of its key valid at the fact's time (``inner`` or ``left``).
 
-    The join is an equi-join on key and calendar bucket: a version is repeated for the buckets it
-    spans inside the facts' time range, so a fact meets only versions of its own bucket, and a hot
-    key is spread over its buckets (adaptive skew join splits what is left). ``span`` gives the
-    facts' first and last time where known; otherwise one scan of the time column finds them.
+    No fact is paired with versions: facts and versions are put in time order per key and calendar
+    bucket, and every fact takes the last version before it. The version in force when a bucket
+    begins is found from one summary row per key and bucket. Work grows with the rows, whatever one
+    key's share of facts or versions; a finer ``bucket`` (``day``, ``hour``) spreads a hot key more.
     """
-    when = F.col(time).cast("timestamp")
-    if span is None:
-        ends = facts.agg(F.min(when).alias("lo"), F.max(when).alias("hi"))
-        span = (ends.select("lo").scalar(), ends.select("hi").scalar())
-    low, high = as_timestamp(span[0]), as_timestamp(span[1])
-    step = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}[bucket]
-    begins = F.date_trunc(bucket, F.greatest(F.col("valid_from").cast("timestamp"), low))
-    finishes = F.date_trunc(bucket, F.least(F.col("valid_to").cast("timestamp"), high))
-    spread = (
-        history.filter((F.col("valid_from") <= high) & (F.col("valid_to") > low))
-        .withColumn("_bucket", F.explode(F.sequence(begins, finishes, F.expr(f"interval {step}"))))
-        .withColumnRenamed(key, "_version_key")
+    moment = F.col(time).cast("timestamp")
+    version_columns = [c for c in history.columns if c != key]
+    usable = F.col(key).isNotNull() & moment.isNotNull()
+    asked = facts.filter(usable).select(
+        F.col(key).alias("_key"),
+        F.date_trunc(bucket, moment).alias("_bucket"),
+        moment.alias("_at"),
+        F.lit(2).alias("_kind"),
+        F.struct(*facts.columns).alias("_fact"),
     )
-    placed = facts.withColumn("_at", when).withColumn("_bucket_of_fact", F.date_trunc(bucket, when))
-    matches = (
-        (F.col(key) == F.col("_version_key"))
-        & (F.col("_bucket_of_fact") == F.col("_bucket"))
-        & (F.col("valid_from") <= F.col("_at"))
-        & (F.col("_at") < F.col("valid_to"))
+    dated = history.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"),
+        F.date_trunc(bucket, F.col("valid_from").cast("timestamp")).alias("_bucket"),
+        F.col("valid_from").cast("timestamp").alias("_at"),
+        F.lit(1).alias("_kind"),
+        F.struct(*version_columns).alias("_version"),
     )
-    return placed.join(spread, matches, how).drop("_at", "_bucket_of_fact", "_bucket", "_version_key")
+    last_started = dated.groupBy("_key", "_bucket").agg(F.max_by("_version", "_at").alias("_last"))
+    wanted = asked.select("_key", "_bucket").distinct().withColumn("_wanted", F.lit(True))
+    earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    in_force = (
+        wanted.join(last_started, ["_key", "_bucket"], "full")
+        .withColumn("_version", F.last("_last", ignorenulls=True).over(earlier))
+        .filter(F.col("_wanted") & F.col("_version").isNotNull())
+        .select("_key", "_bucket", F.col("_bucket").alias("_at"), F.lit(0).alias("_kind"), "_version")
+    )
+    so_far = Window.partitionBy("_key", "_bucket").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = (
+        asked.unionByName(dated.unionByName(in_force), allowMissingColumns=True)
+        .withColumn("_found", F.last("_version", ignorenulls=True).over(so_far))
+        .filter("_kind = 2")
+    )
+    valid = F.coalesce(F.col("_at") < F.col("_found.valid_to").cast("timestamp"), F.lit(False))
+    if how == "inner":
+        return met.filter(valid).select("_fact.*", *[F.col(f"_found.{c}") for c in version_columns])
+    if how != "left":
+        raise ValueError(f"how must be inner or left, not {how}")
+    kept = met.select("_fact.*", *[F.when(valid, F.col(f"_found.{c}")).alias(c) for c in version_columns])
+    # rows without key or time match nothing and would be one huge group
+    return kept.unionByName(facts.filter(~usable), allowMissingColumns=True)
