@@ -62,7 +62,10 @@ def checked(df: DataFrame, rules: Sequence[Rule], column: str = "violations") ->
 
 
 def routed(df: DataFrame, column: str = "violations") -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows) of a checked frame."""
+    """(valid rows, quarantined rows) of a checked frame.
+
+    Each of the two is worked out from the frame; ``cut`` a frame that is costly to make.
+    """
     clean = F.size(column) == 0
     return df.filter(clean).drop(column), df.filter(~clean)
 

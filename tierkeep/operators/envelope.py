@@ -112,7 +112,7 @@ def run_statistics(records: DataFrame, requested: DataFrame, sources: int, succe
 
 
 def run_errors(records: DataFrame) -> DataFrame:
-    """Failed records of a run: source, key, message."""
+    """Failed records of a run: source, key, message. Pass landed or kept records, not their making."""
     return records.filter(F.col("metadata.status") != STATUS_SUCCESS).select(
         F.col("metadata.source").alias("source"),
         F.col("metadata.request_params.app_id").alias("app_id"),

@@ -22,6 +22,8 @@ from tierkeep.plans.catalog import (
     priority_of,
     refresh_priorities,
     refreshed_catalog,
+    run_discovery,
+    run_refresh,
     scheduled,
     sync_estimates,
     typed_catalog,
@@ -29,6 +31,7 @@ from tierkeep.plans.catalog import (
 from tierkeep.plans.gold import top_items
 from tierkeep.queries.bindings import ACTIVITY_SQL, LIMITS, PRIORITY_SQL, activity, day_string
 from tierkeep.queries.registry import query, table
+from tierkeep.session import scratch_path
 
 
 @query(
@@ -328,6 +331,24 @@ def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grown.select("app_id", "priority", F.date_format("discovered_at", "yyyy-MM-dd").alias("discovered_at"))
 
 
+@query(
+    "catalog_cycle",
+    f"""with {_EARLY_SQL},
+games as (select p_partkey from part where not regexp_matches(lower(p_name),
+  'soundtrack|ost| dlc|dlc |pack|bundle|demo|beta test|dedicated server|sdk|tool|editor|art book|wallpaper|bonus content|pre-order|preorder|season pass|expansion pass|supporter|upgrade'))
+select count(*) filter (where k is not null) previous_count, count(*) filter (where k is null) new_games_added,
+       count(*) final_count from games left join early on k = p_partkey""",
+)
+def catalog_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored catalog of the early parts, refreshed with all parts: counts before, added and after."""
+    entries, counts = _part_entries(spark, sf_dir)
+    early = table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate") < F.lit("1995-07-01").cast("timestamp_ntz"))
+    listed = known(entries, early.select(F.col("l_partkey").alias("app_id")), "app_id")
+    root = scratch_path(spark, "catalog")
+    run_discovery(spark, root, listed, counts, "1995-07-01")
+    return run_refresh(spark, root, entries, counts, "2024-01-01")
+
+
 @query(
     "mark_synced",
     f"""with {PRIORITY_SQL}

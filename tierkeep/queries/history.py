@@ -231,7 +231,7 @@ def fact_dim_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     # looked at twice, so kept as a dimension would be
     history = cut(discount_history(spark, sf_dir)).withColumnRenamed("app_id", "l_partkey")
     facts = lines.join(orders, "l_orderkey")
-    return as_of_join(facts, history, "l_partkey", "ordered").select("l_orderkey", "l_linenumber", "discount_percent")
+    return as_of_join(facts, history, "l_partkey", "ordered", bucket="year").select("l_orderkey", "l_linenumber", "discount_percent")
 
 
 @query(

@@ -15,6 +15,7 @@ from tierkeep.plans.gold import (
     price_statistics,
     run_gold,
     shares,
+    stored_latest_players,
     top_items,
 )
 from tierkeep.plans.health import table_health, version_census
@@ -25,6 +26,7 @@ from tierkeep.queries.registry import query
 from tierkeep.session import scratch_path
 from tierkeep.sources import registry, tables
 from tierkeep.sources.batches import write_batches
+from tierkeep.streaming.ingest import ingest_new
 
 FIRST_RUN, SECOND_RUN = "1998-12-31", "2002-01-01"
 _built: dict[tuple[str, str], tuple[str, DataFrame]] = {}
@@ -66,8 +68,7 @@ def _item_history(spark: SparkSession, root: str) -> DataFrame:
 def _gold_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     root, _ = silver_tiers(spark, sf_dir)
     reviews = tables.read_current(spark, registry.REVIEW_DIM.path(root))
-    fact = tables.read(spark, registry.PLAYER_FACT.path(root), registry.PLAYER_FACT.ddl)
-    return _items(spark, root), reviews, latest_players(fact)
+    return _items(spark, root), reviews, stored_latest_players(spark, root)
 
 
 DIM_SQL = f"""{STORE_SQL},
@@ -179,9 +180,37 @@ def silver_census(spark: SparkSession, sf_dir: str) -> DataFrame:
 select cast(user_id as int) app_id, cast(n as int) player_count, run snapshot_date from pd""",
 )
 def newest_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the newest day, found by a scalar subquery over the fact."""
+    root, _ = silver_tiers(spark, sf_dir)
+    fact = tables.read(spark, registry.PLAYER_FACT.path(root), registry.PLAYER_FACT.ddl)
+    return latest_players(fact).select("app_id", "player_count", "snapshot_date")
+
+
+@query(
+    "newest_folder_players",
+    f"""with {LATEST_PLAYERS_SQL}
+select cast(user_id as int) app_id, cast(n as int) player_count, run snapshot_date from pd""",
+)
+def newest_folder_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, opening only the newest day's folder."""
     return _gold_parts(spark, sf_dir)[2].select("app_id", "player_count", "snapshot_date")
 
 
+@query(
+    "incremental_players",
+    f"""with {PLAYERS_SQL}
+select cast(user_id as int) app_id, cast(n as int) player_count, run snapshot_date from pl where n > signups""",
+)
+def incremental_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The player fact filled by the file stream, run twice: the second run finds nothing new."""
+    landed, _ = silver_tiers(spark, sf_dir)
+    silver, state = scratch_path(spark, "streamed"), scratch_path(spark, "stream-state")
+    for _ in range(2):
+        ingest_new(spark, "player_stats", landed, silver, state, as_of=SECOND_RUN).awaitTermination()
+    fact = tables.read(spark, registry.PLAYER_FACT.path(silver), registry.PLAYER_FACT.ddl)
+    return fact.select("app_id", "player_count", "snapshot_date")
+
+
 def gold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_metrics(*_gold_parts(spark, sf_dir), SECOND_RUN)
 
