@@ -199,3 +199,17 @@ def test_incremental_ingest_equals_full_runs(spark, tmp_path):
         assert left.count() == right.count() and left.select(right.columns).exceptAll(right).count() == 0
     left, right = (tables.read(spark, registry.PLAYER_FACT.path(r), registry.PLAYER_FACT.ddl) for r in (root, full))
     assert left.count() == right.count() == 4 and left.exceptAll(right).count() == 0
+
+
+def test_runs_start_from_declared_empty_tables(spark, tmp_path):
+    root = str(tmp_path)
+    for spec in registry.ALL_TABLES:
+        tables.create_empty(spark, spec, root)
+    assert [r["success"] for r in gold.run_gold(spark, root, root, as_of="2024-01-01").collect()] == [True] * 3
+    landing.first_day(root)
+    results = silver.run_silver(spark, root, root, as_of="2024-01-01 20:00:00")
+    assert counts(results) == {"dim_games": (3, 3, 0, 0), "dim_game_reviews": (2, 2, 0, 0), "fact_player_counts": (2, 2, 0, 0)}
+    history = tables.read_table(spark, registry.ITEM_DIM, root)
+    assert sorted(r["game_sk"] for r in history.collect()) == [1, 2, 3]
+    built = gold.run_gold(spark, root, root, as_of="2024-01-02").collect()
+    assert [r["records"] for r in built] == [3, 3, 3]

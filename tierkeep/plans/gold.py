@@ -227,7 +227,7 @@ def _build(spark: SparkSession, spec: registry.TableSpec, build: Callable[[], Da
     begun = time.monotonic()
     try:
         version = tables.replace(build(), path, spec.partition_by)
-        written = tables.read_replaced(spark, path, version).count()
+        written = tables.read_replaced(spark, path, version, spec.ddl).count()
         return (spec.name, written, time.monotonic() - begun, True, None)
     except Exception as problem:  # any failure of one product is reported, not raised
         return (spec.name, 0, time.monotonic() - begun, False, str(problem))
