@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from datetime import datetime
 
 import pytest
@@ -153,9 +154,15 @@ def test_failures_stay_with_their_table(spark, tmp_path):
     assert "dim_game_reviews" in built[0]["error"]
 
 
-def test_pretty_printed_documents(spark, tmp_path):
+def test_pretty_printed_documents_in_another_folder(spark, tmp_path):
     landing.first_day(tmp_path, pretty=True)
-    results = silver.run_silver(spark, str(tmp_path), str(tmp_path), as_of="2024-01-01", multi_line=True)
+    landed = tmp_path / "Files" / "bronze"
+    folders = {kind: f"raw_vendor_{kind}" for kind in ("store", "reviews", "player_stats")}
+    for kind, folder in folders.items():
+        shutil.copytree(landed / f"raw_{kind}", tmp_path / "other" / "Files" / "bronze" / folder)
+    results = silver.run_silver(
+        spark, str(tmp_path / "other"), str(tmp_path), as_of="2024-01-01", multi_line=True, folders=folders
+    )
     assert counts(results)["dim_games"] == (3, 3, 0, 0)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,12 +167,13 @@ def run_silver(
     names: PayloadNames = DEFAULT_NAMES,
     multi_line: bool = False,
     since: str | None = None,
+    folders: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Refresh the silver tables; one result row per table."""
     stamp = run_stamp() if as_of is None else as_of
 
     def landed(kind: str, ddl: str) -> DataFrame:
-        return read_batches(spark, landing_path(bronze_root, kind), ddl, multi_line, since)
+        return read_batches(spark, landing_path(bronze_root, kind, folders), ddl, multi_line, since)
 
     steps = {
         "items": (
@@ -199,8 +200,10 @@ def run_silver(
     return frame
 
 
-def landing_path(bronze_root: str, kind: str) -> str:
-    return f"{bronze_root.rstrip('/')}/Files/bronze/{registry.RAW_TABLES[kind].name}"
+def landing_path(bronze_root: str, kind: str, folders: Mapping[str, str] | None = None) -> str:
+    """Where batches of a kind land; ``folders`` names other folders by kind."""
+    folder = (folders or {}).get(kind, registry.RAW_TABLES[kind].name)
+    return f"{bronze_root.rstrip('/')}/Files/bronze/{folder}"
 
 
 def run_totals(results: DataFrame) -> DataFrame:

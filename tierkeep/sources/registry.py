@@ -23,13 +23,10 @@ class TableSpec:
         return f"{root.rstrip('/')}/{self.base_path}/{self.name}"
 
 
-_RAW_COMMON = f"{s.METADATA_DDL}, app_id int, raw_data string, ingestion_date string"
-
 RAW_TABLES = {
-    kind: TableSpec(f"raw_{kind}", "bronze", _RAW_COMMON, ("ingestion_date",), source=f"{kind}_api")
-    for kind in ("store", "reviews", "player_stats")
+    kind: TableSpec(f"raw_{kind}", "bronze", ddl, ("ingestion_date",), source=f"{kind}_api")
+    for kind, ddl in s.RAW_DDL.items()
 }
-PAYLOADS = {"store": s.store_ddl, "reviews": s.reviews_ddl, "player_stats": lambda names=None: s.PLAYERS_DDL}
 
 CATALOG = TableSpec("game_catalog", "bronze", s.CATALOG_DDL)
 ITEM_DIM = TableSpec("dim_games", "silver", s.ITEM_DIM_DDL, ("is_current",))

@@ -92,6 +92,27 @@ def reviews_ddl(names: PayloadNames = DEFAULT_NAMES) -> str:
 
 PLAYERS_DDL = "player_count int, result int, error string"
 
+RAW_HEAD_DDL = """
+    record_id string, batch_id string, source string, source_endpoint string, ingested_at timestamp,
+    api_response_time_ms double, status string, error_message string, environment string,
+    pipeline_version string, app_id int
+"""
+
+RAW_DDL = {
+    "store": f"""
+        {RAW_HEAD_DDL}, name string, type string, is_free boolean, short_description string,
+        developers array<string>, publishers array<string>, price_currency string, price_initial int,
+        price_final int, price_discount_percent int, platforms_windows boolean, platforms_mac boolean,
+        platforms_linux boolean, metacritic_score int, categories array<string>, genres array<string>,
+        release_date string, coming_soon boolean, raw_json string, ingestion_date string
+    """,
+    "reviews": f"""
+        {RAW_HEAD_DDL}, total_reviews int, total_positive int, total_negative int, review_score int,
+        review_score_desc string, raw_json string, ingestion_date string
+    """,
+    "player_stats": f"{RAW_HEAD_DDL}, player_count int, raw_json string, ingestion_date string",
+}
+
 SCD2_DDL = """
     valid_from timestamp, valid_to timestamp, is_current boolean,
     _created_at timestamp, _updated_at timestamp, _source_batch_id string, _ingested_at timestamp

@@ -8,6 +8,8 @@ landed; a snapshot landing after a newer one needs the full run, which picks the
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,6 +40,7 @@ def ingest_new(
     names: PayloadNames = DEFAULT_NAMES,
     multi_line: bool = False,
     files_per_batch: int = 1000,
+    folders: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start a query that works off all unread ``store``, ``reviews`` or ``player_stats`` files, then ends."""
     payload = {"store": store_core_ddl(names), "reviews": REVIEWS_CORE_DDL, "player_stats": PLAYERS_DDL}[kind]
@@ -45,7 +48,7 @@ def ingest_new(
         spark.readStream.schema(batch_schema(payload).add("date", "string"))
         .option("multiLine", str(multi_line).lower())
         .option("maxFilesPerTrigger", files_per_batch)
-        .json(landing_path(bronze_root, kind))
+        .json(landing_path(bronze_root, kind, folders))
     )
 
     def take_in(batch: DataFrame, _: int) -> None:
