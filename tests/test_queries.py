@@ -6,8 +6,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from tests.compare import connect, differences
-
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+from tierkeep.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +18,11 @@ def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_registered():
+    assert QUERIES.keys() <= spark_entry.queries().keys()
+    assert ORACLES.keys() <= spark_entry.oracle_sql().keys()
+
+
 def test_entry(spark):
     result = spark_entry.entry(spark)
     assert result.columns == ["app_id", "discount_percent", "valid_from", "valid_to", "is_current"]
