@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from tierkeep.llm.batches import map_batches, texts_as_bytes
+from tierkeep.llm.packing import packed, unpacked
 from tierkeep.session import cut
 
 #: Words of the shortest tile, and the share of a test's words that tiles must cover.
@@ -229,9 +230,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The documents that no test contaminates, in the columns of ``docs``.
-
-    Columns named ``_row`` or ``_seeds`` are not allowed.
-    """
-    rows, matches = screened(docs, benchmark)
-    return rows.join(_hits(matches, coverage).select("_row").distinct(), "_row", "left_anti").select(*docs.columns)
+    """The documents that no test contaminates, in the columns of ``docs``, whatever their names."""
+    rows, matches = screened(packed(docs, ["text"]), benchmark)
+    clean = rows.join(_hits(matches, coverage).select("_row").distinct(), "_row", "left_anti")
+    return clean.select(*unpacked(clean, docs.columns, ["text"]))

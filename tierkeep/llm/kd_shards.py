@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierkeep.llm.ordering import ranked
+from tierkeep.llm.packing import packed, unpacked
 from tierkeep.session import cut
 
 #: Every dimension is laid out over so many bins; ties in a bin are split by a hash of so many bits.
@@ -154,22 +155,24 @@ def sharded(
 
     Shards hold nearly equal bytes. ``docs`` needs ``doc_id``, ``text``, ``source``, ``lang``, or
     whatever ``dimensions``, ``size`` and ``tie`` read if these are given (and ``doc_id``); other
-    columns pass, except that columns named like the three new ones are replaced. NULL texts weigh
+    columns pass whatever their names, except that those named like the three new ones are replaced. NULL texts weigh
     1, NULL metadata counts as the least value. Fewer documents than shards leave shards empty; no
-    documents give no rows. Rows equal in id and text share a shard. Columns whose names start with
-    an underscore are reserved.
+    documents give no rows. Rows equal in id and text share a shard.
     """
+    kept = [c for c in docs.columns if c not in ("shard", "slot", "size")]
+    read = ["doc_id", "text", "source", "lang"] if dimensions is None else kept
     weight = byte_size(F.col("text")) if size is None else size
     leaves = kd_nodes(
-        docs,
+        packed(docs.select(*(f"`{c}`" for c in kept)), read),
         document_dimensions() if dimensions is None else dimensions,
         weight,
         document_tie() if tie is None else tie,
         depth=depth,
     )
-    kept = [c for c in docs.columns if c not in ("shard", "slot", "size")]
     placed = leaves.select(
-        *kept, weight.alias("size"), (F.col("_node") - F.lit(2**depth)).cast("int").alias("shard")
+        *(c for c in leaves.columns if c != "_node"),
+        weight.alias("size"),
+        (F.col("_node") - F.lit(2**depth)).cast("int").alias("shard"),
     )
     numbered = ranked(placed, ["shard"], ["doc_id", "size"], "_rank")
-    return numbered.select(*placed.columns, (F.col("_rank") - 1).alias("slot"))
+    return numbered.select(*unpacked(numbered, kept, read), "size", "shard", (F.col("_rank") - 1).alias("slot"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierkeep.llm.ordering import ranked
+from tierkeep.llm.packing import packed, unpacked
 from tierkeep.session import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -87,6 +88,8 @@ def with_copies(
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every document as many times as it is taken, in the columns of ``docs``."""
-    taken = with_copies(docs, **options)
-    return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """The mix itself: every document as many times as it is taken, in the columns of ``docs``, whatever their names."""
+    read = ["doc_id", "text", "source"]
+    taken = with_copies(packed(docs, read), **options)
+    repeated = taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies"))))
+    return repeated.select(*unpacked(repeated, docs.columns, read))

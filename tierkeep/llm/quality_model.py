@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from tierkeep.llm.batches import texts_as_bytes
+from tierkeep.llm.packing import packed, unpacked
 from tierkeep.session import cut
 
 #: Numbers taken from a text, in this order.
@@ -240,7 +241,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -
     drawn = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     drawn = cut(drawn.select(F.col("doc_id").alias("_doc_id"), "_quality"))
     # at most ``sample`` pairs of numbers: a bounded broadcast, so the texts need not move
-    labelled = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("_doc_id"))
+    labelled = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_doc_id"))
     taken = labelled.select("doc_id", features(F.col("text")).alias("x"), "_quality").toPandas()
     taken = taken.sort_values(["doc_id"], kind="stable")
     rows = np.array(taken["x"].tolist(), np.float64).reshape(-1, len(FEATURES))
@@ -256,3 +257,9 @@ def with_score(docs: DataFrame, model: AdditiveModel, name: str = "score") -> Da
         return pa.array(model.scores(found.reshape(-1, len(FEATURES))), pa.float64())
 
     return docs.withColumn(name, score(F.col("text")))
+
+
+def accepted(docs: DataFrame, model: AdditiveModel, cutoff: float = CUTOFF) -> DataFrame:
+    """The documents that score at least ``cutoff``, in the columns of ``docs``, whatever their names."""
+    scored = with_score(packed(docs, ["text"]), model, "_score").where(F.col("_score") >= cutoff)
+    return scored.select(*unpacked(scored, docs.columns, ["text"]))

@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType
 
 from tierkeep.llm.batches import texts_as_bytes
 from tierkeep.llm.components import components
+from tierkeep.llm.packing import packed, unpacked
 from tierkeep.session import cut
 
 #: Words of a shingle, and the most bits by which linked fingerprints differ.
@@ -147,9 +148,11 @@ def without_copies(docs: DataFrame) -> DataFrame:
 
     If that id repeats, or all ids are NULL, one of its rows stays. Documents are written once with
     their fingerprint and a row number; only these two are compared, and texts move once more at
-    the end, unless the rows to keep are few enough to be broadcast. Columns named
-    ``fingerprint``, ``_row`` or ``_print`` are not allowed.
+    the end, unless the rows to keep are few enough to be broadcast.
     """
-    known = cut(with_fingerprints(docs).withColumn("_row", F.monotonically_increasing_id()))
+    read = ["doc_id", "text"]
+    known = cut(with_fingerprints(packed(docs, read)).withColumn("_row", F.monotonically_increasing_id()))
     kept = classes(known.select("doc_id", "fingerprint", "_row")).select(F.col("kept_row").alias("_kept")).distinct()
-    return known.join(kept, F.col("_row") == F.col("_kept"), "left_semi").select(*docs.columns)
+    return known.join(kept, F.col("_row") == F.col("_kept"), "left_semi").select(
+        *unpacked(known, docs.columns, read)
+    )

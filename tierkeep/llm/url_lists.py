@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierkeep.llm.packing import packed, unpacked
 from tierkeep.session import cut
 
 #: Keys of a URL from specific to general: URL, host and first segment, host, parent domains.
@@ -91,7 +92,8 @@ def judged(captures: DataFrame, changes: DataFrame) -> DataFrame:
     brought back by it, so ids may repeat or be missing.
     """
     new = ("host", "verdict", "rule", "listed_from", "listed_to", "n_active")
-    rows = cut(captures.drop(*new).withColumn("_row", F.monotonically_increasing_id()))
+    passing, read = captures.drop(*new), ["url", "fetched_at"]
+    rows = cut(packed(passing, read).withColumn("_row", F.monotonically_increasing_id()))
     last = rows.agg(F.max(_month(F.col("fetched_at")))).first()[0]
     until = F.least(F.coalesce(_month(F.col("valid_to")), F.lit(last)), F.lit(last))
     starts = _month(F.col("valid_from"))
@@ -106,7 +108,7 @@ def judged(captures: DataFrame, changes: DataFrame) -> DataFrame:
     best = F.min(F.struct("_rank", "key", "action", "valid_from", "valid_to"))
     found = active.groupBy("_row").agg(best.alias("_best"), F.count("*").alias("_n"))
     return rows.join(found, "_row", "left").select(
-        *(c for c in rows.columns if c != "_row"),
+        *unpacked(rows, passing.columns, read),
         host(F.col("url")).alias("host"),
         F.coalesce(F.col("_best.action"), F.lit("unlisted")).alias("verdict"),
         F.col("_best.key").alias("rule"),
