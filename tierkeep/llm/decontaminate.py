@@ -156,8 +156,7 @@ def _tiled(batch: pa.RecordBatch) -> dict[str, object]:
         found.append((covered, len(words), len(marked), max((length for *_, length in marked), default=0)))
     covered, whole, n, longest = zip(*found) if found else ((), (), (), ())
     return {
-        "_row": batch.column("_row"),
-        "item_id": batch.column("item_id"),
+        **{c: batch.column(c) for c in (*KEY, "item_id")},
         "matched_words": pa.array(covered, pa.int64()),
         "test_words": pa.array(whole, pa.int64()),
         "n_tiles": pa.array(n, pa.int64()),
@@ -165,41 +164,41 @@ def _tiled(batch: pa.RecordBatch) -> dict[str, object]:
     }
 
 
-_MATCH = "_row bigint, item_id bigint, matched_words bigint, test_words bigint, n_tiles bigint, longest_tile bigint"
+#: What stands for a text: 128 bits, so that equal texts are judged once and verdicts find them again.
+KEY = ("_key1", "_key2")
 
+_MATCH = (
+    "_key1 bigint, _key2 bigint, item_id bigint, matched_words bigint, test_words bigint, n_tiles bigint, longest_tile bigint"
+)
 
-def matched(rows: DataFrame, tests: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Every document (``_row``) and test that share a seed, with the tiles' sums.
 
-    ``rows`` has ``_row``, ``text`` and ``_seeds``. Seeds meet in a join on their hash; a seed that
-    many documents share is a large key of it, which adaptive execution splits. Pairs are distinct,
-    at most one per document and test; tests are joined on their number.
-    """
-    asked = rows.select("_row", F.explode("_seeds").alias("seed"))
-    pairs = asked.join(seeds, "seed").select("_row", "_test_no").distinct()
-    both = pairs.join(rows.select("_row", F.col("text").alias("_text")), "_row").join(tests, "_test_no")
-    return map_batches(both.select("_row", "item_id", "_text", "_test"), _tiled, _MATCH)
+def with_key(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.withColumns({"_key1": F.xxhash64(text), "_key2": F.xxhash64(F.lit("second"), text)})
 
 
-def screened(docs: DataFrame, benchmark: DataFrame, texts: bool = True) -> tuple[DataFrame, DataFrame]:
-    """The documents with a row number ``_row``, written once, and their matches with the tests.
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Every distinct text of ``docs`` and test that share a seed, with their tiles' sums; written once.
 
-    With ``texts`` false, texts that share no seed with any test are not written (NULL instead).
-    Tests whose words are fewer than a tile match nothing; tests without text likewise.
+    Texts that share no seed with any test, nearly all, are sifted out where they lie by a bitmap of
+    fixed size; what it lets through by chance has no partner in the join. The others are reduced to
+    one row per text, and seeds meet in a join on their hash: a seed that many texts share is a
+    large key of it, which adaptive execution splits. Pairs are distinct, at most one per text and test.
     """
     numbered = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("_test"))
     tests = cut(numbered.withColumn("_test_no", F.monotonically_increasing_id()))
     seeds = cut(tests.select("_test_no", F.explode(_seeds(F.col("_test"))).alias("seed")))
     sift = _sifted(_sieve(seeds))
-    rows = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_seeds", sift(F.col("text")))
-    if not texts:
-        rows = rows.withColumn("text", F.when(F.size("_seeds") > 0, F.col("text")))
-    rows = cut(rows)
-    return rows, cut(matched(rows.where(F.size("_seeds") > 0), tests, seeds))
+    passed = docs.select("text", sift(F.col("text")).alias("_seeds")).where(F.size("_seeds") > 0)
+    rows = cut(with_key(passed).dropDuplicates(list(KEY)))
+    asked = rows.select(*KEY, F.explode("_seeds").alias("seed"))
+    pairs = asked.join(seeds, "seed").select(*KEY, "_test_no").distinct()
+    both = pairs.join(rows.select(*KEY, F.col("text").alias("_text")), list(KEY)).join(tests, "_test_no")
+    return cut(map_batches(both.select(*KEY, "item_id", "_text", "_test"), _tiled, _MATCH))
 
 
-def _hits(matches: DataFrame, coverage: float) -> DataFrame:
-    return matches.where(F.col("matched_words") >= F.lit(coverage) * F.col("test_words"))
+def _is_hit(coverage: float) -> F.Column:
+    return F.col("matched_words") >= F.lit(coverage) * F.col("test_words")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -210,17 +209,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     shares a seed (0 if none does), ``item_ids`` the sorted ids of the contaminating tests.
     ``docs`` needs ``doc_id`` and ``text``; NULL and empty texts are clean. Repeated rows are
     judged one by one, repeated tests count each, tests without id contaminate without being
-    listed. No documents give no rows; without tests all are clean.
+    listed. Tests of fewer words than a tile, or without text, match nothing. No documents give no
+    rows; without tests all are clean.
     """
-    rows, matches = screened(docs.select("doc_id", "text"), benchmark, texts=False)
-    share = F.col("matched_words") / F.col("test_words")
-    hit = F.col("matched_words") >= F.lit(coverage) * F.col("test_words")
-    found = matches.groupBy("_row").agg(
-        F.max(share).alias("_share"),
-        F.sum(hit.cast("bigint")).alias("_n"),
-        F.sort_array(F.collect_set(F.when(hit, F.col("item_id")))).alias("_items"),
+    hit = _is_hit(coverage)
+    found = cut(
+        matches(docs, benchmark)
+        .groupBy(*KEY)
+        .agg(
+            F.max(F.col("matched_words") / F.col("test_words")).alias("_share"),
+            F.sum(hit.cast("bigint")).alias("_n"),
+            F.sort_array(F.collect_set(F.when(hit, F.col("item_id")))).alias("_items"),
+        )
     )
-    return rows.select("_row", "doc_id").join(found, "_row", "left").select(
+    keyed = with_key(docs.select("doc_id", "text")).select("doc_id", *KEY)
+    return keyed.join(found, list(KEY), "left").select(
         "doc_id",
         (F.coalesce("_n", F.lit(0)) > 0).alias("contaminated"),
         F.coalesce("_share", F.lit(0.0)).alias("coverage"),
@@ -230,7 +233,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The documents that no test contaminates, in the columns of ``docs``, whatever their names."""
-    rows, matches = screened(packed(docs, ["text"]), benchmark)
-    clean = rows.join(_hits(matches, coverage).select("_row").distinct(), "_row", "left_anti")
+    """The documents that no test contaminates, in the columns of ``docs``, whatever their names.
+
+    The contaminated texts' keys are written, so that Spark can broadcast them if they are few and
+    the documents stay where they are.
+    """
+    hits = cut(matches(docs, benchmark).where(_is_hit(coverage)).select(*KEY).distinct())
+    clean = with_key(packed(docs, ["text"])).join(hits, list(KEY), "left_anti")
     return clean.select(*unpacked(clean, docs.columns, ["text"]))

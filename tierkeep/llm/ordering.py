@@ -28,11 +28,12 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n
     ).withColumn("_part", F.shiftright("_place", _PLACE_BITS))
     heads = placed.groupBy(*group, "_part").agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    heads = heads.select(
+    # written, so that its size is known before the rows are joined with it and need not move again
+    heads = cut(heads.select(
         *(F.col(g).alias(f"_g{i}") for i, g in enumerate(group)),
         F.col("_part").alias("_p"),
         (F.col("_first") - F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - 1).alias("_base"),
-    )
+    ))
     same = F.col("_part") == F.col("_p")
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))

@@ -110,13 +110,12 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def classes(known: DataFrame) -> DataFrame:
-    """``fingerprint``, ``component_id`` (the smallest id reachable) and ``kept_row`` for each fingerprint.
+    """``_print``, ``component_id`` (the smallest id reachable) and ``kept_print`` for each fingerprint.
 
-    ``known`` has ``fingerprint``, ``doc_id`` and ``_row``, a different number for each document.
-    NULL ids are never smallest: a component of them alone has NULL. ``kept_row`` is the row of the
-    smallest id, the first such row if ids repeat.
+    ``known`` has ``fingerprint`` and ``doc_id``. NULL ids are never smallest: a component of them
+    alone has NULL. ``kept_print`` is the fingerprint of the smallest id, the lowest if ids repeat.
     """
-    least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("fingerprint").alias("print"))
     prints = cut(known.groupBy("fingerprint").agg(F.min(least).alias("_least")))
     hanging = components(links(prints.select("fingerprint")))
     named = prints.join(hanging, F.col("fingerprint") == F.col("node"), "left")
@@ -125,7 +124,7 @@ def classes(known: DataFrame) -> DataFrame:
     return named.join(smallest, "_class").select(
         F.col("fingerprint").alias("_print"),
         F.col("_first.doc_id").alias("component_id"),
-        F.col("_first._row").alias("kept_row"),
+        F.col("_first.print").alias("kept_print"),
     )
 
 
@@ -137,22 +136,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     fingerprint, which stands in the links once, however many they are. ``docs`` needs ``doc_id``
     and ``text``, which is read once. Repeated ids stay as rows. No documents give no rows.
     """
-    known = with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "fingerprint")
-    known = cut(known.withColumn("_row", F.monotonically_increasing_id()))
+    known = cut(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "fingerprint"))
     joined = known.join(classes(known), F.col("fingerprint") == F.col("_print"))
     return joined.select("doc_id", "fingerprint", "component_id")
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """One document of each component, in the columns of ``docs``: that with the smallest id.
+    """One document of each component, in the columns of ``docs``, whatever their names: that with the smallest id.
 
-    If that id repeats, or all ids are NULL, one of its rows stays. Documents are written once with
-    their fingerprint and a row number; only these two are compared, and texts move once more at
-    the end, unless the rows to keep are few enough to be broadcast.
+    If that id repeats, or all ids are NULL, one of its rows stays. Fingerprints are written with
+    the ids and taken again at the end, so that texts are moved once and not written; rows of one id
+    and fingerprint are reduced to one before they move.
     """
     read = ["doc_id", "text"]
-    known = cut(with_fingerprints(packed(docs, read)).withColumn("_row", F.monotonically_increasing_id()))
-    kept = classes(known.select("doc_id", "fingerprint", "_row")).select(F.col("kept_row").alias("_kept")).distinct()
-    return known.join(kept, F.col("_row") == F.col("_kept"), "left_semi").select(
-        *unpacked(known, docs.columns, read)
-    )
+    known = cut(with_fingerprints(docs.select(*read)).select("doc_id", "fingerprint"))
+    kept = classes(known).select(F.col("component_id").alias("_id"), F.col("kept_print").alias("_kept")).distinct()
+    single = with_fingerprints(packed(docs, read)).dropDuplicates(["doc_id", "fingerprint"])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fingerprint") == F.col("_kept"))
+    return single.join(cut(kept), same, "left_semi").select(*unpacked(single, docs.columns, read))
