@@ -143,7 +143,7 @@ def _sifted(sieve: bytes):
             rows.append(np.unique(seeds[may == 1]).view(np.int64))
         return pa.array(rows, pa.list_(pa.int64()))
 
-    return sift
+    return sift.asNondeterministic()  # else Spark sifts once for the filter on the seeds, and again for them
 
 
 def _tiled(batch: pa.RecordBatch) -> dict[str, object]:

@@ -56,7 +56,8 @@ def _fingerprints(texts: pa.Array) -> pa.Array:
 
 def with_fingerprints(docs: DataFrame, name: str = "fingerprint") -> DataFrame:
     """``docs`` with the fingerprint of ``text`` as bigint; NULL and empty texts have 0."""
-    return docs.withColumn(name, _fingerprints(F.col("text")))
+    # "not deterministic" keeps Spark from taking them twice, once for a filter that a join implies
+    return docs.withColumn(name, _fingerprints.asNondeterministic()(F.col("text")))
 
 
 def hex_digits(bits: Column) -> Column:
