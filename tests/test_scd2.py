@@ -196,3 +196,10 @@ def test_as_of_join_equals_plain_python(spark, bucket):
     kept = as_of_join(unkeyed, history, "k", "at", bucket, how="left").collect()
     assert len(kept) == len(facts) + 2
     assert {(r["f"], r["v"]) for r in kept if r["valid_from"] is not None} == expected
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp"])
+def test_rows_without_time_start_no_version(spark, kind):
+    frame = spark.createDataFrame([(1, None, 7), (1, "2024-01-01", 5), (None, "2024-01-01", 5)], "k int, t string, v int")
+    history = history_from_snapshots(frame.withColumn("t", F.col("t").cast(kind)), "k", "t", ["v"]).collect()
+    assert [(r["k"], r["v"], r["is_current"]) for r in history] == [(1, 5, True)]

@@ -220,3 +220,41 @@ def test_runs_start_from_declared_empty_tables(spark, tmp_path):
     assert sorted(r["game_sk"] for r in history.collect()) == [1, 2, 3]
     built = gold.run_gold(spark, root, root, as_of="2024-01-02").collect()
     assert [r["records"] for r in built] == [3, 3, 3]
+
+
+def test_nothing_landed_disappears(spark, tmp_path):
+    """A good record, one without item, one without a valid time, a cut-off and a pretty-printed document, '{}'."""
+    root = str(tmp_path)
+
+    def rec(name, app_id, at):
+        return landing.record(name, "player_stats_api", app_id, at, {"player_count": 5, "result": 1})
+
+    landing.land(tmp_path, "player_stats", "2024-01-01", "good", [rec("good", 1, "2024-01-01T00:00:00")])
+    landing.land(tmp_path, "player_stats", "2024-01-01", "keyless", [rec("keyless", None, "2024-01-01T00:00:00")])
+    landing.land(tmp_path, "player_stats", "2024-01-01", "timeless", [rec("timeless", 2, "yesterday")])
+    folder = next((tmp_path / "Files" / "bronze" / "raw_player_stats").glob("date=*"))
+    (folder / "torn.json").write_text('{"batch_id": "torn", "records": [{"metadata"')
+    (folder / "odd.json").write_text("{}")
+    (folder / "pretty.json").write_text('{\n "batch_id": "p",\n "records": []\n}')
+    row = silver.run_silver(spark, root, root, as_of="2024-01-01 20:00:00", include=("players",)).first()
+    assert (row["processed"], row["inserted"], row["success"]) == (1, 1, True)
+    rejected = spark.read.parquet(f"{root}/rejected/{row['table_name']}")
+    reasons = sorted((r["reason"], r["batch_id"]) for r in rejected.filter("batch_id is not null").collect())
+    assert reasons == [("no key", "keyless"), ("no time", "timeless")]
+    unreadable = rejected.filter("reason = 'unreadable'")
+    assert unreadable.filter("document like '%torn%'").count() == 1 and unreadable.filter("document = ''").count() >= 1
+    assert rejected.count() == row["rejected"] == 2 + unreadable.count()
+    assert silver.run_silver(spark, root, root, as_of="2024-01-01", include=()).count() == 0
+
+
+def test_health_isolates_a_damaged_file(spark, tmp_path):
+    from tierkeep.plans.health import table_health
+
+    spark.range(3).write.parquet(str(tmp_path / "fine"))
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "bad"))
+    broken = next((tmp_path / "bad").glob("part-*.parquet"))
+    broken.write_bytes(b"PAR1" + b"x" * 50)
+    schema = "id bigint"
+    openers = {n: (lambda n=n: spark.read.schema(schema).parquet(str(tmp_path / n))) for n in ("bad", "fine")}
+    rows = {r["table_name"]: r for r in table_health(spark, openers).collect()}
+    assert rows["fine"]["records"] == 3 and not rows["bad"]["success"] and rows["bad"]["error"]

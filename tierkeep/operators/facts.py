@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def unseen(source: DataFrame, existing: DataFrame, column: str) -> DataFrame:
-    """Source rows whose value (a key, a batch id) does not occur in ``existing``."""
-    return source.join(existing.select(column).distinct(), column, "left_anti")
+    """Source rows whose value (a key, a batch id) does not occur in ``existing``; NULL equals NULL."""
+    seen = existing.select(F.col(column).alias("_seen")).distinct()
+    return source.join(seen, F.col(column).eqNullSafe(F.col("_seen")), "left_anti")
 
 
 def known(source: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
@@ -25,8 +26,8 @@ def append_counts(source: DataFrame, existing: DataFrame | None, column: str) ->
     if existing is None:
         tagged = batches.withColumn("seen", F.lit(False))
     else:
-        seen = existing.select(F.col(column).alias("_seen")).distinct()
-        tagged = batches.join(seen, F.col(column) == F.col("_seen"), "left").withColumn(
+        seen = existing.select(F.col(column).alias("_value"), F.lit(True).alias("_seen")).distinct()
+        tagged = batches.join(seen, F.col(column).eqNullSafe(F.col("_value")), "left").withColumn(
             "seen", F.col("_seen").isNotNull()
         )
     total = F.coalesce(F.sum("rows"), F.lit(0))

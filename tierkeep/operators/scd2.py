@@ -128,6 +128,7 @@ def history_from_snapshots(
 
     A row starts a version when a tracked column differs from the key's previous row. Adds
     valid_from, valid_to (next start or the end of time) and is_current; keeps the row's columns.
+    Rows without key or time are left out, whatever the type of ``time``.
 
     With a date column a key has at most one row per day, so its window is small whatever the data
     volume. With timestamps one key may hold a third of all rows: ``slice_by`` (``day``, ``month``,
@@ -137,7 +138,7 @@ def history_from_snapshots(
     if slice_by is None and not isinstance(snapshots.schema[time].dataType, DateType):
         slice_by = "month"
     state = F.struct(*[F.col(c) for c in tracked])
-    rows = snapshots.filter(F.col(key).isNotNull())
+    rows = snapshots.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
     if slice_by is None:
         ordered = Window.partitionBy(key).orderBy(time)
         starts = rows.withColumn("_before", F.lag(state).over(ordered)).filter(
@@ -161,8 +162,7 @@ def _sliced_starts(
     # version starts as far as one slice can tell: its first row and every change after it;
     # kept once for the two uses below instead of scanning and shuffling the snapshots twice
     local = cut(
-        rows.filter(F.col(time).isNotNull())
-        .withColumn("_slice", F.date_trunc(slice_by, F.col(time)))
+        rows.withColumn("_slice", F.date_trunc(slice_by, F.col(time)))
         .withColumn("_before", F.lag(state).over(in_slice))
         .filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(state))
     )

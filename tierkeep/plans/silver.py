@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkeep.functions.measures import safe_ratio
@@ -16,7 +16,7 @@ from tierkeep.operators.latest import latest_per_key
 from tierkeep.operators.scd2 import Dimension, merge
 from tierkeep.session import cut
 from tierkeep.sources import registry, tables
-from tierkeep.sources.batches import read_batches
+from tierkeep.sources.batches import UNREADABLE, landed_rows, read_documents
 from tierkeep.sources.schemas import (
     DEFAULT_NAMES,
     PLAYERS_DDL,
@@ -37,8 +37,10 @@ REVIEWS = Dimension(
     surrogate="review_sk",
 )
 
+KINDS = {"store": registry.ITEM_DIM, "reviews": registry.REVIEW_DIM, "player_stats": registry.PLAYER_FACT}
+
 RESULT_DDL = """
-    table_name string, processed bigint, inserted bigint, updated bigint, unchanged bigint,
+    table_name string, processed bigint, inserted bigint, updated bigint, unchanged bigint, rejected bigint,
     seconds double, success boolean, error string
 """
 
@@ -47,6 +49,26 @@ def succeeded(records: DataFrame) -> DataFrame:
     return records.filter(F.col("status") == STATUS_SUCCESS)
 
 
+def landed_key(kind: str, names: PayloadNames = DEFAULT_NAMES) -> Column:
+    """The item a landed record is about."""
+    return F.col("raw_data")[names.item_id] if kind == "store" else F.col("request_params.app_id")
+
+
+def rejected_rows(landed: DataFrame, kind: str, names: PayloadNames = DEFAULT_NAMES) -> DataFrame:
+    """What was landed (``landed_rows``) and cannot be stored, with the ``reason``.
+
+    These are unreadable documents, and successful records without item or without a valid time.
+    """
+    done = F.col("status") == STATUS_SUCCESS
+    reason = (
+        F.when(F.col(UNREADABLE).isNotNull(), F.lit("unreadable"))
+        .when(done & landed_key(kind, names).isNull(), F.lit("no key"))
+        .when(done & F.try_to_timestamp("ingested_at").isNull(), F.lit("no time"))
+    )
+    rows = landed.select("batch_id", "record_id", "ingested_at", reason.alias("reason"), F.col(UNREADABLE).alias("document"))
+    return rows.filter(F.col("reason").isNotNull())
+
+
 def newest_records(rows: DataFrame) -> DataFrame:
     """The latest record per item; batch and record id break ties, so reruns agree."""
     order = [F.desc("_ingested_at"), F.desc("_source_batch_id"), F.desc("_record_id")]
@@ -56,7 +78,7 @@ def newest_records(rows: DataFrame) -> DataFrame:
 def _audit() -> list:
     return [
         F.col("batch_id").alias("_source_batch_id"),
-        F.to_timestamp("ingested_at").alias("_ingested_at"),
+        F.try_to_timestamp("ingested_at").alias("_ingested_at"),
         F.col("record_id").alias("_record_id"),
     ]
 
@@ -80,7 +102,12 @@ def store_rows(records: DataFrame, names: PayloadNames = DEFAULT_NAMES) -> DataF
         release["coming_soon"].alias("coming_soon"),
         *_audit(),
     )
-    return newest_records(rows)
+    return newest_records(_storable(rows, "_ingested_at"))
+
+
+def _storable(rows: DataFrame, time: str) -> DataFrame:
+    """Rows with an item and a time; the others are those of ``rejected_rows``."""
+    return rows.filter(F.col("app_id").isNotNull() & F.col(time).isNotNull())
 
 
 def review_rows(records: DataFrame) -> DataFrame:
@@ -93,19 +120,20 @@ def review_rows(records: DataFrame) -> DataFrame:
         safe_ratio(summary["total_positive"], summary["total_reviews"]).alias("positive_ratio"),
         *_audit(),
     )
-    return newest_records(rows)
+    return newest_records(_storable(rows, "_ingested_at"))
 
 
 def player_rows(records: DataFrame) -> DataFrame:
     """Every successful player count with its snapshot time and day; nothing is deduplicated."""
-    taken = F.to_timestamp("ingested_at")
-    return succeeded(records).select(
+    taken = F.try_to_timestamp("ingested_at")
+    rows = succeeded(records).select(
         F.col("request_params.app_id").alias("app_id"),
         taken.alias("snapshot_timestamp"),
         F.col("raw_data.player_count").alias("player_count"),
         F.col("batch_id").alias("_source_batch_id"),
         day_text(taken).alias("snapshot_date"),
     )
+    return _storable(rows, "snapshot_timestamp")
 
 
 def merge_dimension(spark: SparkSession, source: DataFrame, dim: Dimension, path: str, as_of: AsOf) -> DataFrame:
@@ -135,6 +163,35 @@ def append_players(
     return counts
 
 
+def take_in(
+    spark: SparkSession,
+    kind: str,
+    landed: DataFrame,
+    silver_root: str,
+    as_of: AsOf,
+    names: PayloadNames = DEFAULT_NAMES,
+    since: str | None = None,
+) -> DataFrame:
+    """Store what was landed of one kind (``landed_rows``) and return the counts, with the ``rejected`` rows'.
+
+    Rejected rows are appended below ``silver_root/rejected``, so that stored, unchanged, failed and
+    rejected records add up to all that was landed. The parsed rows are kept, since both need them.
+    """
+    landed = cut(landed)
+    spec = KINDS[kind]
+    bad = cut(rejected_rows(landed, kind, names).withColumn("_rejected_at", as_timestamp(as_of)))
+    if rejected := bad.count():
+        tables.append(bad, f"{silver_root.rstrip('/')}/rejected/{spec.name}", ())
+    path = spec.path(silver_root)
+    if kind == "store":
+        counts = merge_dimension(spark, store_rows(landed, names), ITEMS, path, as_of)
+    elif kind == "reviews":
+        counts = merge_dimension(spark, review_rows(landed), REVIEWS, path, as_of)
+    else:
+        counts = append_players(spark, player_rows(landed), path, as_of, since)
+    return counts.withColumn("rejected", F.lit(rejected).cast("bigint"))
+
+
 def current_views(spark: SparkSession, silver_root: str) -> list[str]:
     """Register the dimensions' current rows as temporary views ``current_<table>``."""
     names = []
@@ -151,9 +208,10 @@ def isolated(spark: SparkSession, name: str, step: Callable[[], DataFrame]) -> D
     begun = time.monotonic()
     try:
         row = step().first()
-        counts, outcome = (row["processed"], row["inserted"], row["updated"], row["unchanged"]), (True, None)
+        counts = tuple(row[c] for c in ("processed", "inserted", "updated", "unchanged", "rejected"))
+        outcome = (True, None)
     except Exception as problem:  # any failure of one table is reported, not raised
-        counts, outcome = (0, 0, 0, 0), (False, str(problem))
+        counts, outcome = (0, 0, 0, 0, 0), (False, str(problem))
     return spark.createDataFrame([(name, *counts, time.monotonic() - begun, *outcome)], RESULT_DDL)
 
 
@@ -169,34 +227,22 @@ def run_silver(
     since: str | None = None,
     folders: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Refresh the silver tables; one result row per table."""
+    """Refresh the silver tables; one result row per table, none if ``include`` is empty."""
     stamp = run_stamp() if as_of is None else as_of
 
-    def landed(kind: str, ddl: str) -> DataFrame:
-        return read_batches(spark, landing_path(bronze_root, kind, folders), ddl, multi_line, since)
-
-    steps = {
-        "items": (
-            registry.ITEM_DIM,
-            lambda path: merge_dimension(spark, store_rows(landed("store", store_core_ddl(names)), names), ITEMS, path, stamp),
-        ),
-        "reviews": (
-            registry.REVIEW_DIM,
-            lambda path: merge_dimension(spark, review_rows(landed("reviews", REVIEWS_CORE_DDL)), REVIEWS, path, stamp),
-        ),
-        "players": (
-            registry.PLAYER_FACT,
-            lambda path: append_players(spark, player_rows(landed("player_stats", PLAYERS_DDL)), path, stamp, since),
-        ),
+    def step(kind: str, ddl: str) -> DataFrame:
+        documents = read_documents(spark, landing_path(bronze_root, kind, folders), ddl, multi_line, since)
+        return take_in(spark, kind, landed_rows(documents), silver_root, stamp, names, since)
+
+    kinds = {
+        "items": ("store", store_core_ddl(names)),
+        "reviews": ("reviews", REVIEWS_CORE_DDL),
+        "players": ("player_stats", PLAYERS_DDL),
     }
-    results = [
-        isolated(spark, spec.name, lambda spec=spec, step=step: step(spec.path(silver_root)))
-        for kind, (spec, step) in steps.items()
-        if kind in include
-    ]
-    frame = results[0]
-    for result in results[1:]:
-        frame = frame.unionByName(result)
+    frame = spark.createDataFrame([], RESULT_DDL)
+    for name, (kind, ddl) in kinds.items():
+        if name in include:
+            frame = frame.unionByName(isolated(spark, KINDS[kind].name, lambda: step(kind, ddl)))
     return frame
 
 

@@ -154,7 +154,7 @@ res as (select table_name, count(*) processed, count(*) filter (where status = '
         from m group by 1)"""
 
 
-@query("silver_run", f"{_RUN_SQL} select *, true success, cast(null as varchar) error from res")
+@query("silver_run", f"{_RUN_SQL} select *, cast(0 as bigint) rejected, true success, cast(null as varchar) error from res")
 def silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result rows of the second silver run (durations left out)."""
     return silver_tiers(spark, sf_dir)[1].drop("seconds")

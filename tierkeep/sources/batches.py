@@ -11,6 +11,44 @@ from tierkeep.sources.folders import by_folder
 from tierkeep.sources.schemas import METADATA_DDL, STATUS_SUCCESS, batch_schema, struct_of
 
 
+#: Holds the text of a document, or of a line of one, that could not be read.
+UNREADABLE = "_unreadable"
+
+
+def read_documents(
+    spark: SparkSession, path: str, payload_ddl: str, multi_line: bool = False, since: str | None = None
+) -> DataFrame:
+    """All batch documents below ``path`` (``date=YYYY-MM-DD`` folders), readable or not.
+
+    Files written by ``write_batches`` hold one document per line and split over tasks; files holding
+    a single pretty-printed document need ``multi_line`` (without it each of their lines comes out as
+    unreadable). ``since`` reads only folders from that day on.
+    """
+    documents = (
+        spark.read.schema(document_schema(payload_ddl))
+        .option("columnNameOfCorruptRecord", UNREADABLE)
+        .option("multiLine", str(multi_line).lower())
+        .json(path)
+    )
+    return documents if since is None else documents.filter(F.col("date").cast("string") >= F.lit(since))
+
+
+def document_schema(payload_ddl: str) -> StructType:
+    return batch_schema(payload_ddl).add(UNREADABLE, "string")
+
+
+def landed_rows(documents: DataFrame) -> DataFrame:
+    """One row per record (metadata columns and ``raw_data``), and one per document without readable records.
+
+    The latter have NULL in all columns but ``_unreadable``, which is empty for a document that is
+    fine JSON but holds no list of records. A batch of no records gives no row.
+    """
+    known = documents.filter("records is null or size(records) > 0")
+    text = F.coalesce(F.col(UNREADABLE), F.lit(""))
+    rows = known.select(F.when(F.col("records").isNull(), text).alias(UNREADABLE), F.expr("inline_outer(records)"))
+    return rows.select("metadata.*", "raw_data", UNREADABLE)
+
+
 def read_batches(
     spark: SparkSession,
     path: str,
@@ -18,23 +56,14 @@ def read_batches(
     multi_line: bool = False,
     since: str | None = None,
 ) -> DataFrame:
-    """Records of all batch documents below ``path`` (``date=YYYY-MM-DD`` folders).
+    """Records of all readable batch documents; see ``read_documents`` and ``landed_rows`` for the others.
 
-    Metadata fields come out as columns, the payload as the struct ``raw_data``. Files written by
-    ``write_batches`` hold one document per line and split over tasks; files holding a single
-    pretty-printed document need ``multi_line``. ``since`` reads only folders from that day on.
+    Metadata fields come out as columns, the payload as the struct ``raw_data``.
     """
-    documents = (
-        spark.read.schema(batch_schema(payload_ddl))
-        .option("multiLine", str(multi_line).lower())
-        .json(path)
-    )
-    return flatten_batches(documents, since)
+    return flatten_batches(read_documents(spark, path, payload_ddl, multi_line, since))
 
 
-def flatten_batches(documents: DataFrame, since: str | None = None) -> DataFrame:
-    if since is not None:
-        documents = documents.filter(F.col("date").cast("string") >= F.lit(since))
+def flatten_batches(documents: DataFrame) -> DataFrame:
     return documents.selectExpr("inline(records)").select("metadata.*", "raw_data")
 
 

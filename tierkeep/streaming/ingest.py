@@ -14,19 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tierkeep.functions.times import AsOf, run_stamp
-from tierkeep.plans.silver import (
-    ITEMS,
-    REVIEWS,
-    append_players,
-    landing_path,
-    merge_dimension,
-    player_rows,
-    review_rows,
-    store_rows,
-)
-from tierkeep.sources import registry
-from tierkeep.sources.batches import flatten_batches
-from tierkeep.sources.schemas import DEFAULT_NAMES, PLAYERS_DDL, REVIEWS_CORE_DDL, PayloadNames, batch_schema, store_core_ddl
+from tierkeep.plans.silver import landing_path, take_in
+from tierkeep.sources.batches import UNREADABLE, document_schema, landed_rows
+from tierkeep.sources.schemas import DEFAULT_NAMES, PLAYERS_DDL, REVIEWS_CORE_DDL, PayloadNames, store_core_ddl
 
 
 def ingest_new(
@@ -45,24 +35,19 @@ def ingest_new(
     """Start a query that works off all unread ``store``, ``reviews`` or ``player_stats`` files, then ends."""
     payload = {"store": store_core_ddl(names), "reviews": REVIEWS_CORE_DDL, "player_stats": PLAYERS_DDL}[kind]
     documents = (
-        spark.readStream.schema(batch_schema(payload).add("date", "string"))
+        spark.readStream.schema(document_schema(payload).add("date", "string"))
+        .option("columnNameOfCorruptRecord", UNREADABLE)
         .option("multiLine", str(multi_line).lower())
         .option("maxFilesPerTrigger", files_per_batch)
         .json(landing_path(bronze_root, kind, folders))
     )
 
-    def take_in(batch: DataFrame, _: int) -> None:
-        session, records = batch.sparkSession, flatten_batches(batch)
+    def store(batch: DataFrame, _: int) -> None:
         stamp = run_stamp() if as_of is None else as_of
-        if kind == "store":
-            merge_dimension(session, store_rows(records, names), ITEMS, registry.ITEM_DIM.path(silver_root), stamp)
-        elif kind == "reviews":
-            merge_dimension(session, review_rows(records), REVIEWS, registry.REVIEW_DIM.path(silver_root), stamp)
-        else:
-            append_players(session, player_rows(records), registry.PLAYER_FACT.path(silver_root), stamp)
+        take_in(batch.sparkSession, kind, landed_rows(batch), silver_root, stamp, names).first()
 
     return (
-        documents.writeStream.foreachBatch(take_in)
+        documents.writeStream.foreachBatch(store)
         .option("checkpointLocation", f"{state_path.rstrip('/')}/{kind}")
         .trigger(availableNow=True)
         .start()
