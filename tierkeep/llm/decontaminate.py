@@ -17,8 +17,10 @@ from tierkeep.session import cut
 #: Words of the shortest tile, and the share of a test's words that tiles must cover.
 TILE, COVERAGE = 5, 0.6
 
-#: The sieve of seeds has 2^22 places, one bit each (512 KiB), whatever the size of the benchmark.
-SIEVE_BITS = 22
+#: The sieve of seeds has 2^24 places, one bit each (2 MiB), whatever the size of the benchmark; a
+#: seed passes if both of its places are taken: the upper 24 bits of its hash, and the 24 below them.
+SIEVE_BITS = 24
+SIEVE_SHIFTS = (64 - SIEVE_BITS, 64 - 2 * SIEVE_BITS)
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -113,13 +115,10 @@ def _seeds(texts: pa.Array) -> pa.Array:
     return pa.array([_seeds_of(words_of(t)).view(np.int64) for t in texts_as_bytes(texts)], pa.list_(pa.int64()))
 
 
-def _place(seeds: np.ndarray) -> np.ndarray:
-    return (seeds >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
-
-
 def _sieve(seeds: DataFrame) -> bytes:
-    """One bit per place that holds a seed: at most 2^22 places come to the driver, in words of 32 bits."""
-    placed = seeds.withColumn("_place", F.shiftrightunsigned(F.col("seed"), 64 - SIEVE_BITS))
+    """One bit per place that a seed takes: at most 2^24 bits come to the driver, in words of 32."""
+    places = [F.shiftrightunsigned("seed", n).bitwiseAND(F.lit((1 << SIEVE_BITS) - 1)) for n in SIEVE_SHIFTS]
+    placed = seeds.select(F.explode(F.array(*places)).alias("_place"))
     words = placed.groupBy(F.shiftright("_place", 5).alias("w")).agg(
         F.expr("bit_or(shiftleft(1L, cast(_place % 32 as int)))").alias("bits")
     )
@@ -129,6 +128,14 @@ def _sieve(seeds: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def _passes(seeds: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    passed = np.ones(len(seeds), bool)
+    for n in SIEVE_SHIFTS:
+        place = (seeds >> np.uint64(n)).astype(np.int64) & ((1 << SIEVE_BITS) - 1)
+        passed &= (bits[place >> 5] >> (place & 31).astype(np.uint32)) & np.uint32(1) == 1
+    return passed
+
+
 def _sifted(sieve: bytes):
     """A function of texts: the seeds of each that may be seeds of a test."""
 
@@ -138,9 +145,7 @@ def _sifted(sieve: bytes):
         rows = []
         for t in texts_as_bytes(texts):
             seeds = rolling(word_numbers(words_of(t)), TILE)
-            place = _place(seeds)
-            may = (bits[place >> 5] >> (place & 31).astype(np.uint32)) & np.uint32(1)
-            rows.append(np.unique(seeds[may == 1]).view(np.int64))
+            rows.append(np.unique(seeds[_passes(seeds, bits)]).view(np.int64))
         return pa.array(rows, pa.list_(pa.int64()))
 
     return sift.asNondeterministic()  # else Spark sifts once for the filter on the seeds, and again for them
