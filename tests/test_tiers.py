@@ -189,7 +189,7 @@ def test_incremental_ingest_equals_full_runs(spark, tmp_path):
 
     def take_in(stamp):
         for kind in ("store", "reviews", "player_stats"):
-            ingest_new(spark, kind, root, root, state, as_of=stamp).awaitTermination()
+            ingest_new(spark, kind, root, root, state, as_of=stamp)
 
     landing.first_day(root)
     take_in("2024-01-01 20:00:00")
@@ -208,6 +208,59 @@ def test_incremental_ingest_equals_full_runs(spark, tmp_path):
     assert left.count() == right.count() == 4 and left.exceptAll(right).count() == 0
 
 
+@pytest.mark.parametrize("files_per_batch", [1, 2, 1000])
+@pytest.mark.parametrize("days", [(1, 2, 3), (3, 1, 2)])
+def test_streamed_history_does_not_depend_on_grouping_or_order(spark, tmp_path, files_per_batch, days):
+    """Three prices of one item in one run, then a late file: the newest price stays current throughout."""
+    root, state = str(tmp_path), str(tmp_path / "state")
+
+    def land(day, price, batch):
+        at = f"2024-01-0{day}T10:00:00"
+        landing.land(root, "store", at[:10], batch, [landing.record(batch, "store_api", 1, at, landing.item(1, price))])
+
+    def take_in(stamp):
+        row = ingest_new(spark, "store", root, root, state, as_of=stamp, files_per_batch=files_per_batch).first()
+        history = tables.read_history(spark, registry.ITEM_DIM.path(root))
+        return tuple(row), sorted((r["price_final_cents"], r["valid_from"], r["is_current"]) for r in history.collect())
+
+    for day in days:
+        land(day, day * 100, f"b{day}")
+    first = (300, datetime(2024, 1, 9), True)
+    assert take_in("2024-01-09") == ((1, 1, 0, 0, 0), [first])
+    land(2, 250, "late")
+    assert take_in("2024-01-10") == ((1, 0, 0, 1, 0), [first])
+    assert take_in("2024-01-11") == ((0, 0, 0, 0, 0), [first])
+    land(4, 400, "b4")
+    closed = (300, datetime(2024, 1, 9), False)
+    assert take_in("2024-01-12") == ((1, 0, 1, 0, 0), [closed, (400, datetime(2024, 1, 12), True)])
+
+
+def test_a_streamed_run_that_broke_off_is_taken_up(spark, tmp_path, monkeypatch):
+    from tierkeep.streaming import ingest
+
+    root, state = str(tmp_path), str(tmp_path / "state")
+    landing.first_day(root)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest, "merge_dimension", fail)
+        with pytest.raises(OSError):
+            ingest_new(spark, "store", root, root, state, as_of="2024-01-01")
+    row = ingest_new(spark, "store", root, root, state, as_of="2024-01-02").first()
+    assert (row["processed"], row["inserted"]) == (3, 3)
+
+
+def test_player_batches_are_looked_up_from_their_first_day_on(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = "select {0} app_id, timestamp'{1}' snapshot_timestamp, 5 player_count, '{2}' _source_batch_id, '{1}' snapshot_date"
+    old, new = (spark.sql(rows.format(1, day, name)) for day, name in (("2024-01-01", "a"), ("2024-01-02", "b")))
+    found = [silver.append_players(spark, r, path, "2024-02-01").first()["inserted"] for r in (old, new, old, new)]
+    assert found == [1, 1, 0, 0]
+    assert tables.read(spark, path, registry.PLAYER_FACT.ddl).count() == 2
+
+
 def test_runs_start_from_declared_empty_tables(spark, tmp_path):
     root = str(tmp_path)
     for spec in registry.ALL_TABLES:

@@ -70,9 +70,12 @@ def rejected_rows(landed: DataFrame, kind: str, names: PayloadNames = DEFAULT_NA
 
 
 def newest_records(rows: DataFrame) -> DataFrame:
-    """The latest record per item; batch and record id break ties, so reruns agree."""
+    """The latest record per item; batch and record id break ties, so reruns agree.
+
+    The newest of some records and the newest of others hold the newest of all.
+    """
     order = [F.desc("_ingested_at"), F.desc("_source_batch_id"), F.desc("_record_id")]
-    return latest_per_key(rows, ["app_id"], order).drop("_record_id")
+    return latest_per_key(rows, ["app_id"], order)
 
 
 def _audit() -> list:
@@ -85,6 +88,11 @@ def _audit() -> list:
 
 def store_rows(records: DataFrame, names: PayloadNames = DEFAULT_NAMES) -> DataFrame:
     """Typed item attributes of the successful store records, latest per item."""
+    return newest_records(item_records(records, names)).drop("_record_id")
+
+
+def item_records(records: DataFrame, names: PayloadNames = DEFAULT_NAMES) -> DataFrame:
+    """Typed item attributes of every successful store record that can be stored."""
     raw = F.col("raw_data")
     price, platforms, release = raw["price_overview"], raw["platforms"], raw["release_date"]
     rows = succeeded(records).select(
@@ -102,7 +110,7 @@ def store_rows(records: DataFrame, names: PayloadNames = DEFAULT_NAMES) -> DataF
         release["coming_soon"].alias("coming_soon"),
         *_audit(),
     )
-    return newest_records(_storable(rows, "_ingested_at"))
+    return _storable(rows, "_ingested_at")
 
 
 def _storable(rows: DataFrame, time: str) -> DataFrame:
@@ -112,6 +120,11 @@ def _storable(rows: DataFrame, time: str) -> DataFrame:
 
 def review_rows(records: DataFrame) -> DataFrame:
     """Review totals and positive ratio of the successful review records, latest per item."""
+    return newest_records(summary_records(records)).drop("_record_id")
+
+
+def summary_records(records: DataFrame) -> DataFrame:
+    """Review totals and positive ratio of every successful review record that can be stored."""
     summary = F.col("raw_data.query_summary")
     totals = ("total_reviews", "total_positive", "total_negative", "review_score", "review_score_desc")
     rows = succeeded(records).select(
@@ -120,7 +133,7 @@ def review_rows(records: DataFrame) -> DataFrame:
         safe_ratio(summary["total_positive"], summary["total_reviews"]).alias("positive_ratio"),
         *_audit(),
     )
-    return newest_records(_storable(rows, "_ingested_at"))
+    return _storable(rows, "_ingested_at")
 
 
 def player_rows(records: DataFrame) -> DataFrame:
@@ -149,10 +162,12 @@ def append_players(
     """Append the batches not stored yet and return the counts.
 
     The rows are narrow and used twice, so they are kept instead of parsing the documents again.
-    With ``since`` (no source row is older) only the fact's folders from that day on are searched.
+    Only the fact's folders from ``since`` on are searched, by default from the source's first day:
+    a batch stored earlier has the same rows, and so the same days.
     """
     source, existing = cut(source), None
     if tables.exists(spark, path):
+        since = since or source.agg(F.min("snapshot_date")).first()[0]
         existing = tables.read(spark, path, registry.PLAYER_FACT.ddl)
         if since is not None:
             existing = existing.filter(F.col("snapshot_date") >= since)
@@ -178,11 +193,8 @@ def take_in(
     rejected records add up to all that was landed. The parsed rows are kept, since both need them.
     """
     landed = cut(landed)
-    spec = KINDS[kind]
-    bad = cut(rejected_rows(landed, kind, names).withColumn("_rejected_at", as_timestamp(as_of)))
-    if rejected := bad.count():
-        tables.append(bad, f"{silver_root.rstrip('/')}/rejected/{spec.name}", ())
-    path = spec.path(silver_root)
+    rejected = reject(landed, kind, silver_root, as_of, names)
+    path = KINDS[kind].path(silver_root)
     if kind == "store":
         counts = merge_dimension(spark, store_rows(landed, names), ITEMS, path, as_of)
     elif kind == "reviews":
@@ -192,6 +204,16 @@ def take_in(
     return counts.withColumn("rejected", F.lit(rejected).cast("bigint"))
 
 
+def reject(
+    landed: DataFrame, kind: str, silver_root: str, as_of: AsOf, names: PayloadNames = DEFAULT_NAMES
+) -> int:
+    """Append the rejected rows of what was landed and return their number."""
+    bad = cut(rejected_rows(landed, kind, names).withColumn("_rejected_at", as_timestamp(as_of)))
+    if rejected := bad.count():
+        tables.append(bad, f"{silver_root.rstrip('/')}/rejected/{KINDS[kind].name}", ())
+    return rejected
+
+
 def current_views(spark: SparkSession, silver_root: str) -> list[str]:
     """Register the dimensions' current rows as temporary views ``current_<table>``."""
     names = []

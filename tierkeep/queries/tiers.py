@@ -206,7 +206,7 @@ def incremental_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, _ = silver_tiers(spark, sf_dir)
     silver, state = scratch_path(spark, "streamed"), scratch_path(spark, "stream-state")
     for _ in range(2):
-        ingest_new(spark, "player_stats", landed, silver, state, as_of=SECOND_RUN).awaitTermination()
+        ingest_new(spark, "player_stats", landed, silver, state, as_of=SECOND_RUN)
     fact = tables.read(spark, registry.PLAYER_FACT.path(silver), registry.PLAYER_FACT.ddl)
     return fact.select("app_id", "player_count", "snapshot_date")
 

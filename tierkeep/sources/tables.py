@@ -33,15 +33,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-def newest_version(spark: SparkSession, path: str) -> int | None:
-    """The highest finished ``v=N`` below the path, or None."""
+def finished_versions(spark: SparkSession, path: str, after: int = -1) -> list[int]:
+    """The numbers of all finished ``v=N`` below the path that are higher than ``after``, ascending."""
     fs, where = _folder(spark, path)
     if not fs.exists(where):
-        return None
+        return []
     names = [entry.getPath().getName() for entry in fs.listStatus(where)]
     numbers = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
-    done = [n for n in numbers if exists(spark, f"{path}/v={n}/{DONE}")]
-    return max(done, default=None)
+    return sorted(n for n in numbers if n > after and exists(spark, f"{path}/v={n}/{DONE}"))
+
+
+def newest_version(spark: SparkSession, path: str) -> int | None:
+    """The highest finished ``v=N`` below the path, or None."""
+    return max(finished_versions(spark, path), default=None)
 
 
 def read(spark: SparkSession, path: str, ddl: str | None = None, merge_schema: bool = False, fmt: str = "parquet") -> DataFrame:
@@ -60,10 +64,13 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     by_folder(df, partition_by).write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
-    """Write the whole table as its next version; schema and content may change freely."""
-    current = newest_version(df.sparkSession, path)
-    version = 0 if current is None else current + 1
+def replace(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", version: int | None = None
+) -> int:
+    """Write the whole table as its next version, or as a given one; schema and content may change freely."""
+    if version is None:
+        current = newest_version(df.sparkSession, path)
+        version = 0 if current is None else current + 1
     # an unfinished attempt may have left files under this number
     df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(f"{path}/v={version}")
     return version
