@@ -25,6 +25,19 @@ def unwrap_keyed(payload: Column, key: Column, data_ddl: str) -> tuple[Column, C
     return succeeded, F.when(succeeded, entry.getField("data"))
 
 
+def unwrapped(df: DataFrame, payload: Column, key: Column, data_ddl: str) -> DataFrame:
+    """``df`` with ``_ok`` and ``_data`` of ``unwrap_keyed``; the text is parsed once, whatever uses them.
+
+    The parsed entry comes out of a generator, which Spark does not copy into the expressions and
+    filters above it.
+    """
+    entry_type = f"map<string, struct<success: boolean, data: {struct_of(data_ddl).simpleString()}>>"
+    entry = F.try_element_at(F.from_json(payload, entry_type), key.cast("string"))
+    rows = df.select("*", F.explode_outer(F.array(entry)).alias("_entry"))
+    succeeded = F.coalesce(F.col("_entry.success"), F.lit(False))
+    return rows.withColumns({"_ok": succeeded, "_data": F.when(succeeded, F.col("_entry.data"))}).drop("_entry")
+
+
 def code_succeeded(code: Column) -> Column:
     return F.coalesce(code == SUCCESS_CODE, F.lit(False))
 

@@ -9,19 +9,18 @@ from tierkeep.functions.texts import joined, pick
 from tierkeep.operators import contracts as c
 from tierkeep.operators.envelope import (
     batched,
-    code_succeeded,
     run_errors,
     run_statistics,
     stamped,
-    status_text,
     stored_payload,
-    unwrap_keyed,
+    unwrapped,
 )
 from tierkeep.operators.latest import latest_per_key
+from tierkeep.plans import bronze
 from tierkeep.plans.silver import player_rows, review_rows, store_rows
 from tierkeep.queries.bindings import percent
 from tierkeep.queries.registry import query, table
-from tierkeep.session import cut, scratch_path
+from tierkeep.session import scratch_path
 from tierkeep.sources.batches import documents_statistics, read_batches, write_batches
 from tierkeep.sources.schemas import PLAYERS_DDL, REVIEWS_CORE_DDL, reviews_ddl, store_core_ddl, store_ddl, struct_of
 
@@ -102,23 +101,7 @@ st as (select p.*, run, l_shipdate shipped, l_linestatus = 'O' coming_soon, l_li
 def store_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests put into batches of up to 100 per year; responses unwrapped, validated and stamped."""
     rows = answered(batched(store_requests(spark, sf_dir), [F.col("app_id")], "run"))
-    succeeded, data = unwrap_keyed(F.col("response"), F.col("app_id"), store_ddl())
-    rows = rows.withColumns({"_ok": succeeded, "_data": data})
-    rows = c.checked(rows, c.store_rules(F.col("_data")), "_broken")
-    refused = F.concat(F.lit("store answered success=false for "), F.col("app_id").cast("string"))
-    clean, message = c.validated(F.col("_ok"), F.col("_broken"), refused)
-    rows = rows.withColumns({"_clean": clean, "_message": F.when(~clean, message)})
-    return stamped(
-        rows,
-        key="app_id",
-        batch=F.col("_batch"),
-        source=F.lit("store_api"),
-        endpoint=F.concat(F.lit("items/"), F.col("app_id").cast("string")),
-        ingested_at=F.col("ingested_at"),
-        succeeded=F.col("_clean"),
-        error=F.col("_message"),
-        response_ms=F.lit(1.5),
-    ).select("app_id", "run", "metadata", F.col("_data").alias("raw_data"))
+    return bronze.store_records(rows.withColumn("response_ms", F.lit(1.5))).select("app_id", "run", "metadata", "raw_data")
 
 
 @query(
@@ -129,14 +112,13 @@ select p_partkey app_id, run, ok succeeded, case when ok then p_name end "name",
 )
 def keyed_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``{"<key>": {"success", "data"}}`` responses taken apart; absent keys count as failed."""
-    rows = store_responses(spark, sf_dir)
-    succeeded, data = unwrap_keyed(F.col("response"), F.col("app_id"), store_ddl())
+    rows = unwrapped(store_responses(spark, sf_dir), F.col("response"), F.col("app_id"), store_ddl())
     return rows.select(
         "app_id",
         F.col("run").cast("bigint").alias("run"),
-        succeeded.alias("succeeded"),
-        data["name"].alias("name"),
-        data["price_overview"]["final"].alias("final_cents"),
+        F.col("_ok").alias("succeeded"),
+        F.col("_data.name").alias("name"),
+        F.col("_data.price_overview.final").alias("final_cents"),
     )
 
 
@@ -148,10 +130,9 @@ select p_partkey app_id, run, case when ok then p_name end "name",
 )
 def raw_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is kept of each response: the data of a success, the message of a failure."""
-    rows = store_responses(spark, sf_dir)
-    succeeded, data = unwrap_keyed(F.col("response"), F.col("app_id"), store_ddl())
+    rows = unwrapped(store_responses(spark, sf_dir), F.col("response"), F.col("app_id"), store_ddl())
     message = F.concat(F.lit("refused "), F.col("app_id").cast("string"))
-    kept = rows.withColumn("kept", stored_payload(succeeded, data, F.col("response"), message, keep_raw=False))
+    kept = rows.withColumn("kept", stored_payload(F.col("_ok"), F.col("_data"), F.col("response"), message, keep_raw=False))
     field = F.from_json("kept", "name string, error string")
     return kept.select(
         "app_id", F.col("run").cast("bigint").alias("run"), field["name"].alias("name"), field["error"].alias("error")
@@ -221,8 +202,7 @@ select 'store_api' source, cast(p_partkey as int) app_id, 'store answered succes
 from st where not ok""",
 )
 def failed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # kept first: a filter on the status would work out parsing and rules again for its own sake
-    return run_errors(cut(store_records(spark, sf_dir)))
+    return run_errors(store_records(spark, sf_dir))
 
 
 @query(
@@ -270,18 +250,9 @@ def review_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             total.alias("total_reviews"),
         ).alias("query_summary"),
     )
-    rows = batched(days.withColumn("raw_data", payload), [F.col("app_id")], "run")
-    ok = code_succeeded(F.col("raw_data.success"))
-    return stamped(
-        rows,
-        key="app_id",
-        batch=F.col("_batch"),
-        source=F.lit("reviews_api"),
-        endpoint=F.lit("reviews"),
-        ingested_at=F.col("run").cast("timestamp"),
-        succeeded=ok,
-        error=F.lit("reviews answered success=0"),
-    ).select("app_id", "run", "metadata", "raw_data")
+    rows = days.withColumns({"response": payload, "ingested_at": F.col("run").cast("timestamp")})
+    made = bronze.review_records(batched(rows, [F.col("app_id")], "run"))
+    return made.select("app_id", "run", "metadata", "raw_data")
 
 
 REVIEWS_SQL = """
@@ -312,17 +283,9 @@ def player_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.struct(
         F.col("n").alias("player_count"), F.when(F.col("n") > F.col("signups"), 1).otherwise(42).alias("result")
     )
-    rows = batched(days.withColumn("raw_data", payload), [F.col("app_id")], "run")
-    return stamped(
-        rows,
-        key="app_id",
-        batch=F.col("_batch"),
-        source=F.lit("player_stats_api"),
-        endpoint=F.lit("players"),
-        ingested_at=F.col("run").cast("timestamp"),
-        succeeded=code_succeeded(F.col("raw_data.result")),
-        error=F.lit("players answered another result"),
-    ).select("app_id", "run", "metadata", "raw_data")
+    rows = days.withColumns({"response": payload, "ingested_at": F.col("run").cast("timestamp")})
+    made = bronze.player_records(batched(rows, [F.col("app_id")], "run"))
+    return made.select("app_id", "run", "metadata", "raw_data")
 
 
 PLAYERS_SQL = """
@@ -346,9 +309,7 @@ def typed_players(spark: SparkSession, sf_dir: str) -> DataFrame:
 select user_id app_id, run, case when n > signups then 'success' else 'failed' end status from pl""",
 )
 def success_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = player_records(spark, sf_dir)
-    status = status_text(code_succeeded(F.col("raw_data.result")))
-    return records.select("app_id", "run", status.alias("status"))
+    return player_records(spark, sf_dir).select("app_id", "run", F.col("metadata.status").alias("status"))
 
 
 @query(
@@ -393,9 +354,8 @@ from st""",
 )
 def store_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store payloads against the contract, with defaults and derived fields."""
-    rows = store_responses(spark, sf_dir)
-    _, data = unwrap_keyed(F.col("response"), F.col("app_id"), store_ddl())
-    rows = rows.withColumn("item", data)
+    rows = unwrapped(store_responses(spark, sf_dir), F.col("response"), F.col("app_id"), store_ddl())
+    rows = rows.withColumnRenamed("_data", "item")
     item = F.col("item")
     rules = [
         *c.key_rules(F.col("app_id")),
@@ -417,12 +377,12 @@ def store_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     "review_rows",
     """select cast(source_id as int) app_id, cast(doc_id as varchar) review_id, lang "language", quality = 1 voted_up,
        n_chars / 60.0::double playtime_hours, strftime(to_timestamp(doc_id * 60), '%Y-%m-%d %H:%M') created,
-       case when toxic = 1 then 'votes_up_min' else '' end broken
-from (select d.*, l.quality, l.toxic, cast(replace(source, 'src', '') as int) source_id from documents d join labels l using (doc_id)) x""",
+       concat_ws(', ', case when quality is null then 'voted_up_required' end, case when toxic = 1 then 'votes_up_min' end) broken
+from (select d.*, l.quality, l.toxic, cast(replace(source, 'src', '') as int) source_id from documents d left join labels l using (doc_id)) x""",
 )
 def single_review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents as reviews: taken out of review payloads, checked, with times and hours."""
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    """Documents as reviews: taken out of review payloads, checked, with times and hours; labels are votes."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     shape = struct_of(reviews_ddl())["reviews"].dataType.elementType
     fields = {
         "recommendationid": F.col("doc_id").cast("string"),
