@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tierkeep.operators.scd2 import Dimension, as_of, as_of_join, classify, history_from_snapshots, merge
+from tierkeep.operators.scd2 import Dimension, as_of, as_of_join, classify, history_from_snapshots, merge, undated
 
 DIM = Dimension(key="k", tracked=("v",), surrogate="sk")
 END = datetime(9999, 12, 31, 23, 59, 59)
@@ -189,6 +189,9 @@ def test_as_of_join_equals_plain_python(spark, bucket):
     history = history_from_snapshots(spark.createDataFrame(rows, "k int, t timestamp, v int"), "k", "t", ["v"]).drop("t")
     frame = spark.createDataFrame(facts, "f int, k int, at timestamp")
     found = {(r["f"], r["v"]) for r in as_of_join(frame, history, "k", "at", bucket).collect()}
+    parted = as_of_join(frame, history, "k", "at", bucket, fact_columns=["f"], version_columns=["v"], part_rows=3)
+    assert parted.columns == ["f", "v"]
+    assert sorted((r["f"], r["v"]) for r in parted.collect()) == sorted(found, key=lambda x: x[0])
     known = plain_history(rows)
     expected = {(f, v) for f, k, at in facts for key, v, start, end, _ in known if key == k and start <= at < end}
     assert found == expected
@@ -203,3 +206,25 @@ def test_rows_without_time_start_no_version(spark, kind):
     frame = spark.createDataFrame([(1, None, 7), (1, "2024-01-01", 5), (None, "2024-01-01", 5)], "k int, t string, v int")
     history = history_from_snapshots(frame.withColumn("t", F.col("t").cast(kind)), "k", "t", ["v"]).collect()
     assert [(r["k"], r["v"], r["is_current"]) for r in history] == [(1, 5, True)]
+    assert undated(frame, "k", "t").count() == 2
+
+
+@pytest.mark.parametrize("slice_by", [None, "day", "year"])
+def test_of_equal_times_the_last_in_tie_order_counts(spark, slice_by):
+    kind = "date" if slice_by is None else "timestamp"
+    rows = [(1, "2024-01-01", 5, 1), (1, "2024-01-02", 6, 2), (1, "2024-01-02", 7, 1), (1, "2024-01-03", 6, 1), (2, "2024-01-02", 1, 1), (2, "2024-01-02", 1, 1)]
+    for shuffled in (rows, rows[::-1]):
+        frame = spark.createDataFrame(shuffled, "k int, t string, v int, n int").withColumn("t", F.col("t").cast(kind))
+
+        def found(ties):
+            history = history_from_snapshots(frame, "k", "t", ["v"], slice_by, ties).collect()
+            return sorted((r["k"], r["v"], str(r["valid_from"])[:10], str(r["valid_to"])[:10]) for r in history)
+
+        end, two = str(END)[:10], (2, 1, "2024-01-02", str(END)[:10])
+        assert found(["n"]) == [(1, 5, "2024-01-01", "2024-01-02"), (1, 6, "2024-01-02", end), two]
+        assert found([]) == [
+            (1, 5, "2024-01-01", "2024-01-02"),
+            (1, 6, "2024-01-03", end),
+            (1, 7, "2024-01-02", "2024-01-03"),
+            two,
+        ]

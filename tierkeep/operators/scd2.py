@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
+from pyspark.sql.window import WindowSpec
 
 from tierkeep.functions.texts import change_hash, differs
 from tierkeep.functions.times import AsOf, as_timestamp, end_of_time
@@ -123,14 +124,17 @@ def history_from_snapshots(
     time: str,
     tracked: Sequence[str],
     slice_by: str | None = None,
+    ties: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """All versions in one pass over dated snapshots (one row per key and time).
+    """All versions in one pass over dated snapshots.
 
     A row starts a version when a tracked column differs from the key's previous row. Adds
     valid_from, valid_to (next start or the end of time) and is_current; keeps the row's columns.
-    Rows without key or time are left out, whatever the type of ``time``.
+    Rows without key or time are left out, whatever the type of ``time``; ``undated`` returns them.
+    Of rows with the same key and time the last in the order of ``ties``, then of the tracked
+    columns, counts, so no version has zero length and versions do not depend on the rows' order.
 
-    With a date column a key has at most one row per day, so its window is small whatever the data
+    With a date column and one row per key and day a key's window is small whatever the data
     volume. With timestamps one key may hold a third of all rows: ``slice_by`` (``day``, ``month``,
     ...; ``month`` by default for timestamps) then spreads a key over its calendar slices, and only
     one summary row per key and slice is looked at across slices.
@@ -139,14 +143,15 @@ def history_from_snapshots(
         slice_by = "month"
     state = F.struct(*[F.col(c) for c in tracked])
     rows = snapshots.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+    order = [F.col(time), *ties, *tracked]
     if slice_by is None:
-        ordered = Window.partitionBy(key).orderBy(time)
-        starts = rows.withColumn("_before", F.lag(state).over(ordered)).filter(
+        ordered = Window.partitionBy(key).orderBy(*order)
+        starts = _last_of_moment(rows, time, ordered).withColumn("_before", F.lag(state).over(ordered)).filter(
             F.col("_before").isNull() | ~F.col("_before").eqNullSafe(state)
         )
         ends = F.lead(time).over(ordered)
     else:
-        starts, ends = _sliced_starts(rows, key, time, state, slice_by)
+        starts, ends = _sliced_starts(rows, key, time, state, slice_by, order)
     closing = F.coalesce(F.col("_next").cast("timestamp"), end_of_time())
     return (
         starts.withColumn("_next", ends)
@@ -155,14 +160,27 @@ def history_from_snapshots(
     )
 
 
+def undated(snapshots: DataFrame, key: str, time: str) -> DataFrame:
+    """The rows that ``history_from_snapshots`` leaves out."""
+    return snapshots.filter(F.col(key).isNull() | F.col(time).isNull())
+
+
+def _last_of_moment(rows: DataFrame, time: str, ordered: WindowSpec) -> DataFrame:
+    """One row per time of each window partition, the last; the window's order begins with the time."""
+    following = F.lead(time).over(ordered)
+    later = F.col("_following").isNull() | (F.col("_following") != F.col(time))
+    return rows.withColumn("_following", following).filter(later).drop("_following")
+
+
 def _sliced_starts(
-    rows: DataFrame, key: str, time: str, state: Column, slice_by: str
+    rows: DataFrame, key: str, time: str, state: Column, slice_by: str, order: Sequence[str | Column]
 ) -> tuple[DataFrame, Column]:
-    in_slice = Window.partitionBy(key, "_slice").orderBy(time)
+    in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
+    sliced = rows.withColumn("_slice", F.date_trunc(slice_by, F.col(time)))
     # version starts as far as one slice can tell: its first row and every change after it;
     # kept once for the two uses below instead of scanning and shuffling the snapshots twice
     local = cut(
-        rows.withColumn("_slice", F.date_trunc(slice_by, F.col(time)))
+        _last_of_moment(sliced, time, in_slice)
         .withColumn("_before", F.lag(state).over(in_slice))
         .filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(state))
     )
@@ -198,6 +216,10 @@ def as_of(history: DataFrame, moment: AsOf) -> DataFrame:
     return history.filter((F.col("valid_from") <= at) & (at < F.col("valid_to")))
 
 
+#: Facts of one key and calendar bucket that one task may get.
+PART_ROWS = 1_000_000
+
+
 def as_of_join(
     facts: DataFrame,
     history: DataFrame,
@@ -205,6 +227,9 @@ def as_of_join(
     time: str,
     bucket: str = "month",
     how: str = "inner",
+    fact_columns: Sequence[str] | None = None,
+    version_columns: Sequence[str] | None = None,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Each fact row with the version of its key valid at the fact's time (``inner`` or ``left``).
 
@@ -212,44 +237,59 @@ def as_of_join(
     bucket, and every fact takes the last version before it. The version in force when a bucket
     begins is found from one summary row per key and bucket. Work grows with the rows, whatever one
     key's share of facts or versions; a finer ``bucket`` (``day``, ``hour``) spreads a hot key more.
+
+    Facts are counted per key and bucket first. Buckets of more than ``part_rows`` facts are dealt
+    out by a hash of the fact into parts, each of which gets the bucket's versions; which part a
+    fact lies in does not change what it finds. ``fact_columns`` and ``version_columns`` name what
+    is wanted of either side (by default all), and no other columns are shuffled.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how}")
     moment = F.col(time).cast("timestamp")
-    version_columns = [c for c in history.columns if c != key]
+    taken = list(facts.columns if fact_columns is None else fact_columns)
+    given = [c for c in (history.columns if version_columns is None else version_columns) if c != key]
     usable = F.col(key).isNotNull() & moment.isNotNull()
     asked = facts.filter(usable).select(
         F.col(key).alias("_key"),
         F.date_trunc(bucket, moment).alias("_bucket"),
         moment.alias("_at"),
         F.lit(2).alias("_kind"),
-        F.struct(*facts.columns).alias("_fact"),
+        F.struct(*taken).alias("_fact"),
     )
     dated = history.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_key"),
         F.date_trunc(bucket, F.col("valid_from").cast("timestamp")).alias("_bucket"),
         F.col("valid_from").cast("timestamp").alias("_at"),
         F.lit(1).alias("_kind"),
-        F.struct(*version_columns).alias("_version"),
+        F.struct(*given, F.col("valid_to").cast("timestamp").alias("_until")).alias("_version"),
     )
+    # written: the sizes of the tables below are known when joins are chosen, and facts are counted once
+    parts = F.ceil(F.count("*") / F.lit(part_rows)).cast("int")
+    wanted = cut(asked.groupBy("_key", "_bucket").agg(parts.alias("_parts")))
+    crowded = cut(wanted.filter("_parts > 1"))
     last_started = dated.groupBy("_key", "_bucket").agg(F.max_by("_version", "_at").alias("_last"))
-    wanted = asked.select("_key", "_bucket").distinct().withColumn("_wanted", F.lit(True))
     earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     in_force = (
         wanted.join(last_started, ["_key", "_bucket"], "full")
         .withColumn("_version", F.last("_last", ignorenulls=True).over(earlier))
-        .filter(F.col("_wanted") & F.col("_version").isNotNull())
-        .select("_key", "_bucket", F.col("_bucket").alias("_at"), F.lit(0).alias("_kind"), "_version")
+        .filter(F.col("_parts").isNotNull() & F.col("_version").isNotNull())
+        .select("_key", "_bucket", F.col("_bucket").alias("_at"), F.lit(0).alias("_kind"), "_version", "_parts")
     )
-    so_far = Window.partitionBy("_key", "_bucket").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    whole = F.coalesce("_parts", F.lit(1))
+    dealt = F.pmod(F.xxhash64("_at", "_fact"), whole).cast("int")
+    every_part = F.explode(F.sequence(F.lit(0), whole - 1))
+    asked = asked.join(crowded, ["_key", "_bucket"], "left").withColumn("_part", dealt).drop("_parts")
+    dated = dated.join(crowded, ["_key", "_bucket"], "left").withColumn("_part", every_part).drop("_parts")
+    in_force = in_force.withColumn("_part", every_part).drop("_parts")
+    so_far = Window.partitionBy("_key", "_bucket", "_part").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     met = (
         asked.unionByName(dated.unionByName(in_force), allowMissingColumns=True)
         .withColumn("_found", F.last("_version", ignorenulls=True).over(so_far))
         .filter("_kind = 2")
     )
-    valid = F.coalesce(F.col("_at") < F.col("_found.valid_to").cast("timestamp"), F.lit(False))
+    valid = F.coalesce(F.col("_at") < F.col("_found._until"), F.lit(False))
     if how == "inner":
-        return met.filter(valid).select("_fact.*", *[F.col(f"_found.{c}") for c in version_columns])
-    if how != "left":
-        raise ValueError(f"how must be inner or left, not {how}")
-    kept = met.select("_fact.*", *[F.when(valid, F.col(f"_found.{c}")).alias(c) for c in version_columns])
+        return met.filter(valid).select("_fact.*", *[F.col("_found")[c].alias(c) for c in given])
+    kept = met.select("_fact.*", *[F.when(valid, F.col("_found")[c]).alias(c) for c in given])
     # rows without key or time match nothing and would be one huge group
-    return kept.unionByName(facts.filter(~usable), allowMissingColumns=True)
+    return kept.unionByName(facts.filter(~usable).select(*taken), allowMissingColumns=True)

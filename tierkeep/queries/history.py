@@ -10,7 +10,7 @@ from tierkeep.functions.texts import change_hash
 from tierkeep.operators.envelope import batched
 from tierkeep.operators.keys import assign_chunks, dense_index
 from tierkeep.operators.latest import latest_per_key
-from tierkeep.operators.scd2 import Dimension, as_of, as_of_join, classify, history_from_snapshots, merge
+from tierkeep.operators.scd2 import Dimension, as_of, as_of_join, classify, history_from_snapshots, merge, undated
 from tierkeep.operators.updates import update_matched, update_where
 from tierkeep.plans.gold import price_statistics
 from tierkeep.plans.health import version_census
@@ -58,6 +58,42 @@ def scd2_history_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_TIED_SQL = """with o as (select user_id, event_id, event_type,
+                  case when event_id % 50 <> 0 then date_trunc('day', ts) end t from events)"""
+
+
+@query(
+    "scd2_history_ties",
+    f"""{_TIED_SQL},
+last as (select * from o where t is not null
+         qualify row_number() over (partition by user_id, t order by event_id desc, event_type desc) = 1),
+ver as (select * from last qualify row_number() over (partition by user_id order by t) = 1
+        or event_type is distinct from lag(event_type) over (partition by user_id order by t))
+select user_id, event_id, event_type, strftime(t, '%Y-%m-%d') valid_from,
+       coalesce(strftime(lead(t) over (partition by user_id order by t), '%Y-%m-%d'), '9999-12-31') valid_to from ver""",
+)
+def scd2_history_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions where many rows of a user share a time and some have none: the last event of a moment counts."""
+    tied = _tied_events(spark, sf_dir)
+    history = history_from_snapshots(tied, "user_id", "t", ["event_type"], ties=["event_id"])
+    return history.select(
+        "user_id", "event_id", "event_type", day_string("valid_from").alias("valid_from"), day_string("valid_to").alias("valid_to")
+    )
+
+
+@query("scd2_history_undated", f"{_TIED_SQL} select user_id, event_id, event_type from o where t is null or user_id is null")
+def scd2_history_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the history above leaves out."""
+    return undated(_tied_events(spark, sf_dir), "user_id", "t").drop("t")
+
+
+def _tied_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").select(
+        "user_id", "event_id", "event_type", F.when(F.col("event_id") % 50 != 0, day).alias("t")
+    )
+
+
 @query(
     "scd2_as_of",
     f"""{HISTORY_SQL}
@@ -231,7 +267,8 @@ def fact_dim_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     # looked at twice, so kept as a dimension would be
     history = cut(discount_history(spark, sf_dir)).withColumnRenamed("app_id", "l_partkey")
     facts = lines.join(orders, "l_orderkey")
-    return as_of_join(facts, history, "l_partkey", "ordered", bucket="year").select("l_orderkey", "l_linenumber", "discount_percent")
+    wanted = ("l_orderkey", "l_linenumber"), ("discount_percent",)
+    return as_of_join(facts, history, "l_partkey", "ordered", fact_columns=wanted[0], version_columns=wanted[1])
 
 
 @query(
