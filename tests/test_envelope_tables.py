@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from tierkeep.operators import envelope as e
@@ -66,6 +67,8 @@ def test_batches_round_trip(spark, tmp_path):
 
     rows = [(i, datetime(2024, 1, 1 + i % 2, 10, 0, i), i * 10, i % 3 > 0) for i in range(10)]
     path = str(tmp_path / "raw")
+    with pytest.raises(ValueError, match="more than 1"):
+        write_batches(_records(spark, rows), path, limit=1)
     write_batches(_records(spark, rows), path)
     assert sorted(p.name for p in Path(path).glob("date=*")) == ["date=2024-01-01", "date=2024-01-02"]
     documents = [json.loads(line) for f in Path(path).rglob("*.json") for line in f.read_text().splitlines()]

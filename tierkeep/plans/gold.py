@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tierkeep.functions.measures import (
 from tierkeep.functions.texts import joined
 from tierkeep.functions.times import AsOf, as_timestamp, day_text, run_stamp
 from tierkeep.operators.latest import latest_partition, latest_per_key
+from tierkeep.session import cut
 from tierkeep.sources import registry, tables
 from tierkeep.sources.schemas import struct_of
 
@@ -62,7 +64,11 @@ def with_reviews_and_players(items: DataFrame, reviews: DataFrame, players: Data
 
 def item_metrics(items: DataFrame, reviews: DataFrame, players: DataFrame, as_of: AsOf) -> DataFrame:
     """The current state of every item in one wide row."""
-    star = with_reviews_and_players(items, reviews, players)
+    return star_metrics(with_reviews_and_players(items, reviews, players), as_of)
+
+
+def star_metrics(star: DataFrame, as_of: AsOf) -> DataFrame:
+    """``item_metrics`` of items that already have their reviews and players."""
     derived = {
         "price_usd": cents_to_amount(F.col("price_final_cents")),
         "is_on_sale": is_above(F.col("price_discount_percent")),
@@ -194,7 +200,8 @@ def run_gold(
 ) -> DataFrame:
     """Rebuild the gold tables; one result row per table, each failure isolated.
 
-    Row counts come from the written files, not from running a query again.
+    Row counts come from the written files, not from running a query again. Two products need the
+    items with their reviews and players, which are joined and written once.
     """
     stamp = run_stamp() if as_of is None else as_of
 
@@ -204,16 +211,20 @@ def run_gold(
             raise FileNotFoundError(f"no current rows in {spec.name}")
         return frame
 
-    def parts() -> tuple[DataFrame, DataFrame, DataFrame]:
-        return current(registry.ITEM_DIM), current(registry.REVIEW_DIM), stored_latest_players(spark, silver_root)
+    @cache
+    def star() -> DataFrame:
+        joined_up = with_reviews_and_players(
+            current(registry.ITEM_DIM), current(registry.REVIEW_DIM), stored_latest_players(spark, silver_root)
+        )
+        return cut(joined_up)
 
     products: dict[str, tuple[registry.TableSpec, Callable[[], DataFrame]]] = {
-        "item_metrics": (registry.ITEM_METRICS, lambda: item_metrics(*parts(), stamp)),
+        "item_metrics": (registry.ITEM_METRICS, lambda: star_metrics(star(), stamp)),
         "price_history": (
             registry.PRICE_HISTORY,
             lambda: price_history(tables.read_history(spark, registry.ITEM_DIM.path(silver_root)), stamp),
         ),
-        "genre_summary": (registry.GENRE_SUMMARY, lambda: genre_summary(*parts(), stamp)),
+        "genre_summary": (registry.GENRE_SUMMARY, lambda: group_summary(star(), F.col("genres"), stamp)),
     }
     rows = [
         _build(spark, spec, build, spec.path(gold_root))

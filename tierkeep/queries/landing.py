@@ -20,7 +20,7 @@ from tierkeep.plans import bronze
 from tierkeep.plans.silver import player_rows, review_rows, store_rows
 from tierkeep.queries.bindings import percent
 from tierkeep.queries.registry import query, table
-from tierkeep.session import scratch_path
+from tierkeep.session import cut, scratch_path
 from tierkeep.sources.batches import documents_statistics, read_batches, write_batches
 from tierkeep.sources.schemas import PLAYERS_DDL, REVIEWS_CORE_DDL, reviews_ddl, store_core_ddl, store_ddl, struct_of
 
@@ -141,7 +141,7 @@ def raw_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed(spark: SparkSession, records: DataFrame, label: str) -> str:
     path = scratch_path(spark, label)
-    write_batches(records, path)
+    write_batches(cut(records), path)
     return path
 
 

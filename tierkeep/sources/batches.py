@@ -14,6 +14,9 @@ from tierkeep.sources.schemas import METADATA_DDL, STATUS_SUCCESS, batch_schema,
 #: Holds the text of a document, or of a line of one, that could not be read.
 UNREADABLE = "_unreadable"
 
+#: Records that a batch document may hold.
+MOST_RECORDS = 10_000
+
 
 def read_documents(
     spark: SparkSession, path: str, payload_ddl: str, multi_line: bool = False, since: str | None = None
@@ -70,7 +73,7 @@ def flatten_batches(documents: DataFrame) -> DataFrame:
 def batch_documents(records: DataFrame) -> DataFrame:
     """One row per batch out of rows with ``metadata`` and ``raw_data``.
 
-    Gathering is safe because ``batched`` bounds every batch to a fixed number of records.
+    Gathering is safe because ``batched`` bounds every batch, and ``write_batches`` checks it.
     """
     head = records.select("metadata", "raw_data").withColumns(
         {"batch_id": F.col("metadata.batch_id"), "source": F.col("metadata.source")}
@@ -91,8 +94,15 @@ def batch_documents(records: DataFrame) -> DataFrame:
     )
 
 
-def write_batches(records: DataFrame, path: str) -> None:
-    """Append batch documents under ``date=YYYY-MM-DD``, the day the batch started."""
+def write_batches(records: DataFrame, path: str, limit: int = MOST_RECORDS) -> None:
+    """Append batch documents under ``date=YYYY-MM-DD``, the day the batch started.
+
+    Nothing is written, and ValueError raised, if a batch has more than ``limit`` records: a document
+    is gathered in one task. The records are read twice, so pass written ones.
+    """
+    large = records.groupBy("metadata.source", "metadata.batch_id").count().filter(F.col("count") > limit).first()
+    if large is not None:
+        raise ValueError(f"batch {large['batch_id']} of {large['source']} has {large['count']} records, more than {limit}")
     documents = batch_documents(records).withColumn("date", F.substring("started_at", 1, 10))
     by_folder(documents, ["date"]).write.mode("append").partitionBy("date").json(path)
 
