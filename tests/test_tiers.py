@@ -261,6 +261,29 @@ def test_player_batches_are_looked_up_from_their_first_day_on(spark, tmp_path):
     assert tables.read(spark, path, registry.PLAYER_FACT.ddl).count() == 2
 
 
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_player_rows_without_batch_id_are_stored_each(spark, tmp_path, files_per_batch):
+    root, state, at = str(tmp_path), str(tmp_path / "state"), "2024-01-01T10:00:00"
+
+    def land(name, *found, batch=None):
+        rows = [landing.record(batch, "player_api", app, at, landing.players(n)) for app, n in found]
+        landing.land(root, "player_stats", "2024-01-01", name, rows)
+
+    land("a", (1, 5), (2, 6))
+    land("b", (1, 5), (3, 7), (1, 8))
+    land("c", (1, 5), (1, 5), batch="c")
+    want = sorted([(1, 5, "c"), (1, 5, "c"), (1, 5, None), (2, 6, None), (3, 7, None), (1, 8, None)], key=str)
+    for found in ((7, 6, 0, 1, 0), (0, 0, 0, 0, 0)):
+        row = ingest_new(spark, "player_stats", root, root, state, as_of="2024-01-02", files_per_batch=files_per_batch).first()
+        assert tuple(row) == found
+    path = registry.PLAYER_FACT.path(root)
+    rows = tables.read(spark, path, registry.PLAYER_FACT.ddl).collect()
+    assert sorted(((r["app_id"], r["player_count"], r["_source_batch_id"]) for r in rows), key=str) == want
+    land("d", (9, 9))
+    again = silver.run_silver(spark, root, root, as_of="2024-01-03", include=("players",)).first()
+    assert (again["processed"], again["inserted"], again["unchanged"]) == (8, 1, 7)
+
+
 def test_runs_start_from_declared_empty_tables(spark, tmp_path):
     root = str(tmp_path)
     for spec in registry.ALL_TABLES:

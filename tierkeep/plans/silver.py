@@ -156,6 +156,10 @@ def merge_dimension(spark: SparkSession, source: DataFrame, dim: Dimension, path
     return merged.metrics
 
 
+#: What tells player rows without a batch id apart.
+UNNAMED = ("app_id", "snapshot_timestamp", "player_count")
+
+
 def append_players(
     spark: SparkSession, source: DataFrame, path: str, as_of: AsOf, since: str | None = None
 ) -> DataFrame:
@@ -163,7 +167,8 @@ def append_players(
 
     The rows are narrow and used twice, so they are kept instead of parsing the documents again.
     Only the fact's folders from ``since`` on are searched, by default from the source's first day:
-    a batch stored earlier has the same rows, and so the same days.
+    a batch stored earlier has the same rows, and so the same days. Rows without batch id are told
+    apart by item, time and count, and equal ones are stored once.
     """
     source, existing = cut(source), None
     if tables.exists(spark, path):
@@ -172,8 +177,8 @@ def append_players(
         if since is not None:
             existing = existing.filter(F.col("snapshot_date") >= since)
     # decided before the write, or the write's own rows would count as seen; one row
-    counts = cut(append_counts(source, existing, "_source_batch_id"))
-    fresh = source if existing is None else unseen(source, existing, "_source_batch_id")
+    counts = cut(append_counts(source, existing, "_source_batch_id", UNNAMED))
+    fresh = unseen(source, existing, "_source_batch_id", UNNAMED)
     tables.append(fresh.withColumn("_created_at", as_timestamp(as_of)), path, registry.PLAYER_FACT.partition_by)
     return counts
 
