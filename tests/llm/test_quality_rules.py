@@ -66,6 +66,34 @@ def test_certified_cutoffs_equal_brute_force(spark):
     assert got["en"][0] is not None
 
 
+def test_small_strata_get_joint_or_pooled_cutoffs(spark):
+    rng = random.Random(9)
+    sizes = {"en": 2000, "de": 400, "fr": 120, None: 130}
+    rows = [(lang, rng.random() ** 40, rng.random() ** 20) for lang, n in sizes.items() for _ in range(n)]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    rules = {"a": (0.999, 0.9, 0.5, 0.1), "b": (0.999, 0.99, 0.2)}
+    assert q.path(rules) == [("a", 0.999), ("b", 0.999), ("a", 0.9), ("b", 0.99), ("a", 0.5), ("a", 0.1), ("b", 0.2)]
+    measures = spark.createDataFrame(rows, "doc_id bigint, lang string, a double, b double")
+    marks = measures.selectExpr("doc_id", "1 as quality")
+    got = {r.stratum: (r.a, r.b) for r in q.certified_cutoffs(measures, marks, rules, 0.02, 0.05).collect()}
+
+    def joint(members):
+        best, now = (None, None), [math.inf, math.inf]
+        good = [r for r in rows if r[1] in members]
+        for rule, cutoff in q.path(rules):
+            now["ab".index(rule)] = cutoff
+            n, k = len(good), sum(r[2] > now[0] or r[3] > now[1] for r in good)
+            p = sum(math.comb(n, i) * 0.02**i * 0.98 ** (n - i) for i in range(k + 1))
+            if k > n * 0.02 or p > 0.05 / 4:
+                break
+            best = tuple(None if x == math.inf else x for x in now)
+        return best
+
+    assert q.least_good(0.02, 0.05 / 4) == 217 and q.least_good(0.01, 0.05 / 8) == 505
+    assert got["de"] == joint(["de"]) and got["fr"] == got[None] == joint(["fr", None])
+    assert got["de"][0] is not None and got["fr"][0] is not None
+
+
 def test_verdicts(spark, edge, nothing):
     labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
     out = q.judged(edge, labels)

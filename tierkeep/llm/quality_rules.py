@@ -5,12 +5,17 @@ used only if an exact binomial test on the stratum's good documents shows that t
 most the allowed share of them. Cutoffs of a rule are tested from the most lenient on and testing
 stops at the first failure, so their number costs nothing; rules and strata share the error
 probability evenly (Bonferroni), and the rules share the allowed share, so together they keep it.
+
+A stratum with too few good documents for that has the rules tested jointly, along one fixed path on
+which they become stricter in turn, at the whole allowed share. Strata with too few for that as well
+are tested so together, as one coarser stratum. Which way is taken depends on their numbers only.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +38,20 @@ COUNTS = ("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_lines", "n_
 #: Share of good documents that all rules together may reject, and the chance that this fails anywhere.
 RISK, ERROR = 0.02, 0.05
 
+#: Rules that the joint path tightens only after all others: the base rule rejects most of what they do.
+LAST = ("repeat_share",)
+
+
+def path(rules: Mapping[str, Sequence[float]]) -> list[tuple[str, float]]:
+    """The steps (rule, its new cutoff) of the joint path: rules advance in turn, by equal shares of their cutoffs."""
+    steps = [(r in LAST, (i + 1) / len(cutoffs), n, r, c) for n, (r, cutoffs) in enumerate(rules.items()) for i, c in enumerate(cutoffs)]
+    return [(r, c) for *_, r, c in sorted(steps)]
+
+
+def least_good(risk: float, error: float) -> int:
+    """Good documents below which no cutoff can pass a test, even if it rejects none of them."""
+    return math.ceil(math.log(error) / math.log1p(-risk))
+
 
 def _windows(hashes: Column) -> Column:
     """The 3-word windows as (h, i): a hash of the words' hashes, and the place of the first word.
@@ -139,33 +158,51 @@ def certified_cutoffs(
 
     ``measures`` has ``doc_id``, ``lang`` (the stratum; NULL is one) and the rules' measures. A
     document is good if all its labels have quality 1; labels without id or quality do not count.
+    Strata with at least ``least_good(risk / rules, error / rules / strata)`` good documents have
+    each rule tested by itself; smaller ones the joint ``path``, each by itself from
+    ``least_good(risk, error / strata)`` on, those below all together. What holds for the latter
+    holds for their good documents as a whole, not for each of them.
     One aggregation over the labelled rows; what follows has one row per stratum, rule and cutoff.
     """
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_q"))
     holdout = measures.join(good.where("_q = 1").select("doc_id"), "doc_id")
     steps = [(r, i, c) for r, cutoffs in rules.items() for i, c in enumerate(cutoffs)]
+    reached: dict[str, float] = {}
+    jointly = []
+    for i, (r, c) in enumerate(path(rules)):
+        reached[r] = c
+        rejected = reduce(Column.__or__, (F.col(x) > F.lit(y) for x, y in reached.items()))
+        jointly.append((r, i, c, F.sum(rejected.cast("bigint")).alias(f"_joint_{i}")))
     counted = holdout.groupBy(F.col("lang").alias("stratum")).agg(
         F.count("*").alias("n"),
         *(F.sum((F.col(r) > F.lit(c)).cast("bigint")).alias(f"{r}_{i}") for r, i, c in steps),
+        *(k for *_, k in jointly),
     )
-    strata = F.count("*").over(Window.partitionBy())
-    tests = counted.withColumn("_strata", strata).select(
-        "stratum",
-        "n",
-        "_strata",
-        F.explode(
-            F.array(
-                *(
-                    F.struct(F.lit(r).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.col(f"{r}_{i}").alias("k"))
-                    for r, i, c in steps
-                )
-            )
-        ).alias("t"),
-    ).select("stratum", "n", "_strata", "t.*")
-    tests = tests.withColumn("_p", binomial_tail(F.col("n"), F.col("k"), risk / len(rules)))
-    so_far = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    passed = F.max("_p").over(so_far) <= F.lit(error / len(rules)) / F.col("_strata")
-    tests = tests.withColumn("_passed", passed)
+    counted = counted.withColumn("_strata", F.count("*").over(Window.partitionBy()))
+
+    def enough(share: float, allowed: Column) -> Column:
+        return F.exp(F.col("n") * F.lit(math.log1p(-share))) <= allowed
+
+    each = F.lit(error / len(rules)) / F.col("_strata")
+    whole = F.lit(error) / F.col("_strata")
+    way = F.when(enough(risk / len(rules), each), F.lit("rules")).when(enough(risk, whole), F.lit("joint")).otherwise(F.lit("pool"))
+    counted = counted.withColumn("_way", way)
+    pool = Window.partitionBy("_way")
+    pooled = {c: F.when(F.col("_way") == "pool", F.sum(c).over(pool)).otherwise(F.col(c)) for c in ("n", *(f"_joint_{i}" for _, i, *_ in jointly))}
+    counted = counted.withColumns(pooled)
+
+    def test(line: str, r: str, i: int, c: float, k: str) -> Column:
+        return F.struct(F.lit(line).alias("line"), F.lit(r).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.col(k).alias("k"))
+
+    alone = F.array(*(test(r, r, i, c, f"{r}_{i}") for r, i, c in steps))
+    joint = F.array(*(test("joint", r, i, c, f"_joint_{i}") for r, i, c, _ in jointly))
+    by_rule = F.col("_way") == "rules"
+    tests = counted.select("stratum", "n", "_strata", "_way", F.explode(F.when(by_rule, alone).otherwise(joint)).alias("t"))
+    tests = tests.select("stratum", "n", "_strata", "_way", "t.*")
+    tail = F.when(by_rule, binomial_tail(F.col("n"), F.col("k"), risk / len(rules))).otherwise(binomial_tail(F.col("n"), F.col("k"), risk))
+    tests = tests.withColumn("_p", tail)
+    so_far = Window.partitionBy("stratum", "line").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    tests = tests.withColumn("_passed", F.max("_p").over(so_far) <= F.when(by_rule, each).otherwise(whole))
     return tests.groupBy("stratum").agg(
         *(F.min(F.when((F.col("rule") == r) & F.col("_passed"), F.col("cutoff"))).alias(r) for r in rules)
     )
@@ -182,7 +219,8 @@ def judged(
     ``failed_rules`` (sorted, comma-joined, empty if none) and ``kept``.
 
     The base rule fails a document with fewer than 50 words, or more than half of whose words stand
-    in repeated windows. Documents of a stratum without certified cutoffs fail the base rule only.
+    in repeated windows. Documents of a stratum without good labelled documents, or for which nothing
+    is certified, fail the base rule only.
     No documents give no rows; without labels nothing is certified. Counts are taken once and
     written, as the cutoffs and the verdict both need them; texts are not.
     """
