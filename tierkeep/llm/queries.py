@@ -12,6 +12,7 @@ from tierkeep.llm import (
     decontaminate,
     kd_shards,
     licenses,
+    lm_scores,
     mixing,
     quality_model,
     quality_rules,
@@ -246,3 +247,8 @@ def op9_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@_query("op11_recurrent_scores")
+def op11_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.scored(_table(spark, sf_dir, "documents"))
