@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkeep.llm import (
+    bit_planes,
     decontaminate,
     kd_shards,
     licenses,
@@ -252,3 +253,50 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op11_recurrent_scores")
 def op11_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores.scored(_table(spark, sf_dir, "documents"))
+
+
+def _bit_planes_sql(clusters: int = 8, rounds: int = 10) -> str:
+    """Rounds of assigning and averaging, one after the other, over one row per vector and component."""
+    nearest = """
+      select v.row, c.cluster, sum((v.x - c.x) * (v.x - c.x))::bigint as distance
+      from parts v join {centroids} c using (k) group by v.row, c.cluster
+      qualify row_number() over (partition by v.row order by distance, c.cluster) = 1"""
+    steps = []
+    for i in range(rounds):
+        near = nearest.format(centroids=f"c{i}")
+        steps.append(f"""
+    n{i} as materialized ({near}
+    ), c{i + 1} as materialized (
+      select c.cluster, c.k, coalesce(m.x, c.x) as x
+      from c{i} c left join (
+        select n.cluster, v.k, (sum(v.x) // count(*) - (sum(v.x) % count(*) < 0)::integer)::bigint as x
+        from n{i} n join parts v using (row) group by n.cluster, v.k
+      ) m using (cluster, k)
+    )""")
+    last = nearest.format(centroids=f"c{rounds}")
+    return f"""
+    with vectors as materialized (
+      select row_number() over () as row, vec_id, embedding::double[] as e from embeddings
+      where len(embedding) = 64 and len([x for x in embedding if x is not null and isfinite(x)]) = 64
+    ), parts as materialized (
+      select row, k, floor(e[k] * 1024)::bigint as x from vectors, unnest(range(1, 65)) as t(k)
+    ), c0 as materialized (
+      select f.cluster, p.k, p.x from parts p join (
+        select row, row_number() over (order by sha256('3:' || vec_id)) - 1 as cluster from vectors
+        qualify cluster < {clusters}
+      ) f using (row)
+    ), {",".join(steps)},
+    final as materialized ({last}
+    ), named as (
+      select cluster, sha256(string_agg(x::varchar, ',' order by k)) as centroid_sha256 from c{rounds} group by cluster
+    )
+    select v.vec_id, f.cluster::integer as cluster, f.distance,
+      sum(f.distance) over (partition by f.cluster)::bigint as cluster_inertia,
+      sum(f.distance) over ()::bigint as inertia, centroid_sha256
+    from final f join vectors v using (row) join named using (cluster)
+    """
+
+
+@_query("op12_bit_plane_clusters", _bit_planes_sql())
+def op12_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_planes.clustered(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
