@@ -18,6 +18,7 @@ from tierkeep.llm import (
     quality_model,
     quality_rules,
     simhash,
+    spelling,
     token_counts,
     token_files,
     url_lists,
@@ -300,3 +301,8 @@ def _bit_planes_sql(clusters: int = 8, rounds: int = 10) -> str:
 @_query("op12_bit_plane_clusters", _bit_planes_sql())
 def op12_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.clustered(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@_query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
