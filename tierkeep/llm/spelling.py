@@ -83,8 +83,9 @@ def _part(word: str, place: Column, size: Column) -> Column:
 
 @F.arrow_udf(IntegerType())
 def _agreeing(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Code points that two words have in common at their beginnings."""
-    return pa.array([len(commonprefix(pair)) for pair in zip(a.to_pylist(), b.to_pylist())], pa.int32())
+    """Code points that two words have in common at their beginnings; NULL if there is only one."""
+    pairs = zip(a.to_pylist(), b.to_pylist())
+    return pa.array([None if y is None else len(commonprefix((x, y))) for x, y in pairs], pa.int32())
 
 
 _PAIR = ["word", "other"]
@@ -93,16 +94,18 @@ _PAIR = ["word", "other"]
 def near_words(words: DataFrame) -> DataFrame:
     """``word`` and ``other``, both ways, for all words that differ by one inserted, deleted or replaced code point.
 
-    ``words`` has distinct ``word``. The words form a trie, whose edges of one level after the other
-    are a table (node, first code point, child, depth of the child). A chain of nodes without
-    branches is one edge, labelled with what all words below it have in common. A frontier of states
-    (word, position, node, edits) goes down with it. On the word's own path (no edit yet) a state is
-    born wherever the word's next code point is left out, or another edge with a higher first code
-    point is taken instead of it; born states (one edit) only follow edges that agree with the word.
-    A state at the end of its word and at a node where a word ends makes the two neighbours. An
-    insertion is the other word's deletion, and a replacement by a lower code point the other word's,
-    so every pair comes up from one side; of a run of equal code points only the last is left out,
-    so it comes up once. Between branches no edit can lead to another word.
+    ``words`` has distinct ``word``. Each word lies on two tries, as it is and turned round, whose edges
+    of one level after the other are a table (node, first code point, child, depth of the child). A
+    chain of nodes without branches is one edge, labelled with what all words below it have in common.
+    A frontier of states (word, position, node, edits) goes down with it. On the word's own path (no
+    edit yet) a state is born wherever the word's next code point is left out, or another edge with a
+    higher first code point is taken instead of it, if that lies in the word's second half: for the
+    first half the turned word does it. So nothing is born near the root, where all words lie close
+    together. Born states (one edit) only follow edges that agree with the word. A state at the end of
+    its word and at a node where a word ends makes the two neighbours. An insertion is the other
+    word's deletion, and a replacement by a lower code point the other word's, so every pair comes up
+    from one side; of a run of equal code points only the last is left out. Between branches no edit
+    can lead to another word.
 
     An edge with a single word below is followed to that word's end at once. So there are as many
     levels as branches lie behind one another, however long words are. Every level is written. Edges
@@ -110,9 +113,13 @@ def near_words(words: DataFrame) -> DataFrame:
     are fewer than letters; so no group is paired with itself. Nodes are 64-bit hashes, and pairs are
     checked at the end.
     """
-    # words on the trie whose node at this level has other words below it, too
-    root = [F.lit(0).alias("depth"), F.lit(0).cast("bigint").alias("node")]
-    alive = cut(words.select("word", F.length("word").alias("size"), *root))
+    # words on the tries whose node at this level has other words below it, too; edits count from "half" on
+    size = F.length("word")
+    way = lambda text, half, turned: F.struct(
+        text.alias("word"), half.cast("int").alias("half"), F.lit(int(turned)).cast("bigint").alias("node"), F.lit(turned).alias("turned")
+    )
+    ways = F.array(way(F.col("word"), F.floor(size / 2), False), way(F.reverse("word"), F.ceil(size / 2), True))
+    alive = cut(words.select(size.alias("size"), F.lit(0).alias("depth"), F.inline(ways)))
     states, found = None, []
     while not alive.isEmpty():
         onward = alive.where(F.col("size") > F.col("depth")).withColumn("char", _char("word", F.col("depth")))
@@ -120,7 +127,8 @@ def near_words(words: DataFrame) -> DataFrame:
         edges = onward.groupBy("node", "char").agg(
             F.count("*").alias("_below"), F.min("word").alias("_one"), F.max("word").alias("_last"), F.min("depth").alias("_depth")
         )
-        reach = F.when(F.col("_below") == 1, F.length("_one")).otherwise(_agreeing("_one", "_last"))
+        shared = _agreeing("_one", F.when(F.col("_below") > 1, F.col("_last")))
+        reach = F.coalesce(shared, F.length("_one"))
         taken = cut(
             edges.select(
                 F.col("node").alias("_at"), F.col("char").alias("_char"), "_below", "_one", "_depth", reach.alias("_reach"),
@@ -129,32 +137,34 @@ def near_words(words: DataFrame) -> DataFrame:
         )
 
         # what is still to be compared: the word from "position" on, the edge's words from "_from" on
-        replaced = onward.join(taken, (F.col("node") == F.col("_at")) & (F.col("_char") > F.col("char")))
+        bearing = onward.where(F.col("depth") >= F.col("half"))
+        replaced = bearing.join(taken, (F.col("node") == F.col("_at")) & (F.col("_char") > F.col("char")))
         replaced = replaced.withColumns({"position": F.col("depth") + 1, "_from": F.col("_depth") + 1})
-        left_out = onward.where(F.col("char") != _char("word", F.col("depth") + 1))
-        front = left_out.select("word", "size", (F.col("depth") + 1).alias("position"), "node")
+        left_out = bearing.where(F.col("char") != _char("word", F.col("depth") + 1))
+        front = left_out.select("word", "size", (F.col("depth") + 1).alias("position"), "node", "turned")
         front = front if states is None else front.unionByName(states)
         asked = front.where(F.col("position") < F.col("size")).withColumn("char", _char("word", F.col("position")))
         stepped = asked.join(taken, (F.col("node") == F.col("_at")) & (F.col("char") == F.col("_char")))
         stepped = stepped.withColumn("_from", F.col("_depth"))
-        columns = ["word", "size", "position", "_from", "_below", "_one", "_reach", "_child"]
+        columns = ["word", "size", "position", "turned", "_from", "_below", "_one", "_reach", "_child"]
         moved = replaced.select(*columns).unionByName(stepped.select(*columns))
         left = F.col("_reach") - F.col("_from")
         alone = F.col("_below") == 1
         whole = ~alone | (F.col("size") - F.col("position") == left)
         agrees = whole & (_part("word", F.col("position"), left) == _part("_one", F.col("_from"), left))
         moved = moved.where(agrees).select(
-            "word", "size", (F.col("position") + left).alias("position"), F.col("_child").alias("node"),
+            "word", "size", (F.col("position") + left).alias("position"), F.col("_child").alias("node"), "turned",
             F.when(alone, F.col("_one")).alias("other"),
         )
         arrived = front.where(F.col("position") == F.col("size")).join(ended, F.col("node") == F.col("_at"))
-        level = cut(moved.unionByName(arrived.select("word", "size", "position", "node", "other")))
-        found.append(level.where(F.col("other").isNotNull()).select(*_PAIR))
-        states = level.where(F.col("other").isNull()).select("word", "size", "position", "node")
+        level = cut(moved.unionByName(arrived.select("word", "size", "position", "node", "turned", "other")))
+        made = level.where(F.col("other").isNotNull())
+        found.append(made.select(*(F.when(F.col("turned"), F.reverse(c)).otherwise(F.col(c)).alias(c) for c in _PAIR)))
+        states = level.where(F.col("other").isNull()).select("word", "size", "position", "node", "turned")
 
         following = taken.where("_below > 1")
         alive = onward.join(following, (F.col("node") == F.col("_at")) & (F.col("char") == F.col("_char")))
-        alive = cut(alive.select("word", "size", F.col("_reach").alias("depth"), F.col("_child").alias("node")))
+        alive = cut(alive.select("word", "size", "half", "turned", F.col("_reach").alias("depth"), F.col("_child").alias("node")))
     if not found:
         return words.select("word", F.col("word").alias("other")).where(F.lit(False))
     # no node with two words below is left, and so no state
