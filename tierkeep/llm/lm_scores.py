@@ -25,7 +25,7 @@ FOLDS, HELD_OUT = 7, 2
 KNOWN, LONGEST = 1 << 16, 64
 
 #: Tokens that the model tells apart, besides all others together.
-VOCABULARY = 1023
+VOCABULARY = 767
 
 #: Shares of the training documents, in 32ths, that one round of learning after another takes; weights are averaged after each.
 ROUNDS = (2, 2, 4, 8, 16)
@@ -95,7 +95,7 @@ def vocabulary(counts: Counts, size: int = VOCABULARY) -> tuple[list[bytes], np.
 
 
 _CODED = """row bigint, doc_id bigint, held_out boolean, slice int, n_tokens bigint, n_rare bigint, n_known bigint,
-    log_all double, log_rare double, tail array<struct<word: binary, n: bigint>>, ids binary"""
+    log_all double, log_rare double, tail array<binary>, ids binary"""
 
 
 def _coded(docs: DataFrame, known: Broadcast) -> DataFrame:
@@ -116,7 +116,7 @@ def _coded(docs: DataFrame, known: Broadcast) -> DataFrame:
                 for text in texts_as_bytes(rows.column("text")):
                     own = words_of(text)
                     at = np.fromiter(map(place.get, own, repeat(0)), np.int64, len(own))
-                    others = Counter(own[i] for i in np.flatnonzero(at == 0).tolist()) if not at.all() else {}
+                    others = [own[i] for i in np.flatnonzero(at == 0).tolist()]
                     at = np.append(at, end)
                     ids = model[at]
                     if not end:
@@ -127,14 +127,14 @@ def _coded(docs: DataFrame, known: Broadcast) -> DataFrame:
                     out["n_known"].append(int((at > 0).sum()))
                     out["log_all"].append(float(log.sum()))
                     out["log_rare"].append(float(log[rare].sum()))
-                    out["tail"].append([{"word": w, "n": n} for w, n in others.items()])
+                    out["tail"].append(others)
                     out["ids"].append(ids.tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(rows.column(c) for c in ("row", "doc_id", "held_out", "slice")),
                         *(pa.array(out[n], pa.int64()) for n in names[:3]),
                         *(pa.array(out[n], pa.float64()) for n in names[3:5]),
-                        pa.array(out["tail"], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
+                        pa.array(out["tail"], pa.list_(pa.binary())),
                         pa.array(out["ids"], pa.binary()),
                     ],
                     ["row", "doc_id", "held_out", "slice", *names],
@@ -247,10 +247,9 @@ def scored(docs: DataFrame) -> DataFrame:
     coded = _coded(docs, known)
     model = context.broadcast(learnt(coded, numbers))
 
-    tail = coded.where(F.size("tail") > 0).select("row", F.explode("tail").alias("_t")).select("row", "_t.word", "_t.n")
+    tail = coded.where(F.size("tail") > 0).select("row", F.explode("tail").alias("word"))
     tail = tail.join(counts.table, "word", "left").groupBy("row").agg(
-        F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("_log"),
-        F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("_known"),
+        F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("_log"), F.count("c").alias("_known")
     )
 
     keep = ("row", "doc_id", "held_out", "n_tokens", "n_rare", "n_known", "log_all", "log_rare")

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 import numpy as np
 
 #: Components of the state; lanes side by side; steps of a window; classes of the vocabulary.
-HIDDEN, LANES, WINDOW, CLASSES = 16, 256, 16, 24
+HIDDEN, LANES, WINDOW, CLASSES = 16, 512, 16, 16
 
 #: Tokens of a piece in training: longer documents are cut into pieces, so that lanes are about equally long.
 PIECE = 1024
@@ -225,7 +225,7 @@ class _Run:
         return found, grads
 
     def back(self, from_outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Gradients of the drives (steps x lanes, 3 hidden) and of the state's matrix."""
+        """Gradients of the drives (3 hidden, steps x lanes) and of the state's matrix."""
         h, matrix = self.model.hidden, self.model.weights["state"]
         steps, width = self.first.shape
         drives = np.empty((3 * h, steps, width), np.float32)
@@ -254,7 +254,7 @@ class _Run:
             if self._cleared[t]:
                 ahead[:, self.first[t]] = 0
         flat = self.states.transpose(1, 0, 2).reshape(h, -1)
-        return drives.reshape(3 * h, -1).T, flat @ mixes.reshape(3 * h, -1).T
+        return drives.reshape(3 * h, -1), flat @ mixes.reshape(3 * h, -1).T
 
 
 class Learner:
@@ -282,7 +282,7 @@ class Learner:
         kinds = flat[order]
         starts = np.flatnonzero(np.diff(kinds.astype(np.int64), prepend=-1))
         named = kinds[starts]
-        rows = np.add.reduceat(drives[order], starts, axis=0)
+        rows = np.add.reduceat(np.take(drives, order, axis=1), starts, axis=1).T
         # a window of few tokens counts less than a full one
         share = np.float32(1 / max(real, LANES))
         norm = np.sqrt(sum(float((g * g).sum()) for g in (*grads.values(), rows))) * share
