@@ -158,10 +158,9 @@ def store_derived(item: Column) -> dict[str, Column]:
 
 
 def with_summary_defaults(summary: Column) -> Column:
-    counts = ("num_reviews", "review_score", "total_positive", "total_negative", "total_reviews")
-    return F.struct(
-        *[_count(summary[c]).alias(c) for c in counts], _text(summary["review_score_desc"]).alias("review_score_desc")
-    )
+    # in the declared order, so that the filled summary has the type of the answered one
+    names = ("num_reviews", "review_score", "review_score_desc", "total_positive", "total_negative", "total_reviews")
+    return F.struct(*[(_text if c == "review_score_desc" else _count)(summary[c]).alias(c) for c in names])
 
 
 def summary_rules(summary: Column) -> list[Rule]:

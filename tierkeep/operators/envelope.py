@@ -87,14 +87,16 @@ def stamped(
     return df.withColumn("metadata", metadata)
 
 
-def batched(df: DataFrame, order: list[Column], run: str, size: int = 100) -> DataFrame:
+def batched(df: DataFrame, order: list[Column], run: str, size: int = 100, landing: str | None = None) -> DataFrame:
     """Add ``_batch``: at most ``size`` consecutive rows of one run share an id.
 
     Runs are numbered through, so no run has to be gathered or joined to find its first row; a run
-    may only begin and end with a smaller batch.
+    may only begin and end with a smaller batch. Numbers begin at 0 in every call; ``landing``, put
+    into the ids, tells the batches of one call from those of another.
     """
     chunked = assign_chunks(df, [F.col(run), *order], size, "_chunk")
-    return chunked.withColumn("_batch", F.concat_ws("-", F.col(run).cast("string"), F.col("_chunk"))).drop("_chunk")
+    parts = [F.col(run).cast("string"), *([] if landing is None else [F.lit(landing)]), F.col("_chunk")]
+    return chunked.withColumn("_batch", F.concat_ws("-", *parts)).drop("_chunk")
 
 
 def batch_statistics(records: DataFrame, by: list[str], succeeded: Column) -> DataFrame:

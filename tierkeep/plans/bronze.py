@@ -2,11 +2,13 @@
 
 An answer has ``app_id``, ``ingested_at`` (timestamp) and ``response``; it is taken apart, validated
 against its source's contract, filled up with the contract's defaults and stamped. An answer that the
-source refused, or that breaks the contract, is landed as failed with its message as the payload.
+source refused, or that breaks the contract, is landed as failed: its payload is the answer as it
+came, fields and text, or the message if there was none.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,24 +81,34 @@ def _records(rows: DataFrame, rules: list, filled: Column, refused: Column, sour
         error=F.col("_message"),
         response_ms=F.col("response_ms") if "response_ms" in rows.columns else None,
     )
-    payload = F.when(F.col("_clean"), filled)
-    names = [f.name for f in made.select(payload.alias("p")).schema["p"].dataType if f.name != "error"]
-    raw = F.struct(*[payload[n].alias(n) for n in names], F.col("_message").alias("error"))
+    payload = F.when(F.col("_clean"), filled).otherwise(F.col("_data"))
+    names = [f.name for f in made.select(payload.alias("p")).schema["p"].dataType if f.name not in ("error", RAW)]
+    answer = F.col("response")
+    if rows.schema["response"].dataType.typeName() != "string":
+        answer = F.to_json(answer)
+    raw = F.struct(
+        *[payload[n].alias(n) for n in names], F.when(~F.col("_clean"), answer).alias(RAW), F.col("_message").alias("error")
+    )
     inner = ("response", "response_ms", "_ok", "_data", "_broken", "_clean", "_message", "_batch")
     return made.withColumn("raw_data", raw).drop(*inner)
 
 
+#: Field of a failed answer's payload with its text.
+RAW = "raw_response"
+
 RECORDS = {"store": store_records, "reviews": review_records, "player_stats": player_records}
 
 
 def land(
-    spark: SparkSession, answers: DataFrame, kind: str, bronze_root: str, run: str, size: int = 100
+    spark: SparkSession, answers: DataFrame, kind: str, bronze_root: str, run: str, size: int = 100, landing: str | None = None
 ) -> Landed:
     """Put answers into batches of at most ``size`` within each value of ``run``, and land them.
 
+    Every call has batch ids of its own, with ``landing`` in them (a new random name by default). To
+    land the same answers again after a failure, pass the same ``landing``: their batches are then known.
     The records are kept once, so that documents, statistics and errors tell of the same rows.
     """
-    records = cut(RECORDS[kind](batched(answers, [F.col("app_id"), F.col("ingested_at")], run, size)))
+    records = cut(RECORDS[kind](batched(answers, [F.col("app_id"), F.col("ingested_at")], run, size, landing or uuid.uuid4().hex)))
     write_batches(records, landing_path(bronze_root, kind))
     done = F.col("metadata.status") == STATUS_SUCCESS
     return Landed(run_statistics(records, records, 1, done), run_errors(records))

@@ -15,7 +15,7 @@ from tierkeep.operators.facts import append_counts, unseen
 from tierkeep.operators.latest import latest_per_key
 from tierkeep.operators.scd2 import Dimension, merge
 from tierkeep.session import cut
-from tierkeep.sources import registry, tables
+from tierkeep.sources import ledger, registry, tables
 from tierkeep.sources.batches import UNREADABLE, landed_rows, read_documents
 from tierkeep.sources.schemas import (
     DEFAULT_NAMES,
@@ -137,7 +137,7 @@ def summary_records(records: DataFrame) -> DataFrame:
 
 
 def player_rows(records: DataFrame) -> DataFrame:
-    """Every successful player count with its snapshot time and day; nothing is deduplicated."""
+    """Every successful player count with its snapshot time and day, and its file if known; nothing is deduplicated."""
     taken = F.try_to_timestamp("ingested_at")
     rows = succeeded(records).select(
         F.col("request_params.app_id").alias("app_id"),
@@ -145,14 +145,28 @@ def player_rows(records: DataFrame) -> DataFrame:
         F.col("raw_data.player_count").alias("player_count"),
         F.col("batch_id").alias("_source_batch_id"),
         day_text(taken).alias("snapshot_date"),
+        *[F.col(c) for c in (ledger.FILE,) if c in records.columns],
     )
     return _storable(rows, "snapshot_timestamp")
 
 
+#: Times that a merge is begun anew because another writer was first.
+TRIES = 3
+
+
 def merge_dimension(spark: SparkSession, source: DataFrame, dim: Dimension, path: str, as_of: AsOf) -> DataFrame:
     """Merge a snapshot into the stored dimension and return the merge's counts."""
-    merged = merge(source, tables.read_current(spark, path), dim, as_of)
-    tables.write_dimension(merged.current, merged.closed, path)
+    for attempt in range(TRIES):
+        base = tables.newest_version(spark, f"{path}/current")
+        current = None if base is None else tables.read_current(spark, path, base)
+        merged = merge(source, current, dim, as_of)
+        try:
+            tables.write_dimension(merged.current, merged.closed, path, -1 if base is None else base)
+        except tables.Conflict:  # another writer was first: merge into what it wrote
+            if attempt == TRIES - 1:
+                raise
+        else:
+            break
     return merged.metrics
 
 
@@ -165,21 +179,45 @@ def append_players(
 ) -> DataFrame:
     """Append the batches not stored yet and return the counts.
 
-    The rows are narrow and used twice, so they are kept instead of parsing the documents again.
-    Only the fact's folders from ``since`` on are searched, by default from the source's first day:
-    a batch stored earlier has the same rows, and so the same days. Rows without batch id are told
-    apart by item, time and count, and equal ones are stored once.
+    The rows are narrow and used several times, so they are kept instead of parsing the documents
+    again. What was taken is told by a ledger of batches, files and contents beside the fact (see
+    ``sources.ledger``), so a batch that is read again is not stored again, one of the same name but
+    other content is, and the fact is not searched. Only for rows without batch id it is, in its
+    folders from ``since`` on, by default from the source's first day: they are told apart by item,
+    time and count, and equal ones are stored once.
     """
-    source, existing = cut(source), None
-    if tables.exists(spark, path):
-        since = since or source.agg(F.min("snapshot_date")).first()[0]
-        existing = tables.read(spark, path, registry.PLAYER_FACT.ddl)
-        if since is not None:
-            existing = existing.filter(F.col("snapshot_date") >= since)
+    source, batch, ledger_path = cut(source), "_source_batch_id", f"{path.rstrip('/')}-ledger"
+    stored = tables.read(spark, path, registry.PLAYER_FACT.ddl) if tables.exists(spark, path) else None
+    ledger.recover(spark, ledger_path, stored, batch, UNNAMED, "snapshot_date")
+    chosen = ledger.fresh(spark, ledger_path, ledger.units(source, batch, UNNAMED, "snapshot_date"))
+    rows = ledger.of_units(source, batch, chosen)
+    named = chosen.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("_taken"))
+
+    unnamed = source.filter(F.col(batch).isNull())
+    first = unnamed.agg(F.min("snapshot_date")).first()[0]
+    if first is not None:
+        since = since or first
+        existing = stored
+        if stored is not None:
+            existing = stored.filter(F.col(batch).isNull() & (F.col("snapshot_date") >= since))
+        rows = rows.unionByName(unseen(unnamed, existing, batch, UNNAMED))
+        others = append_counts(unnamed, existing, batch, UNNAMED).select(F.col("inserted").alias("_others"))
+    else:
+        others = spark.range(1).select(F.lit(0).cast("bigint").alias("_others"))
     # decided before the write, or the write's own rows would count as seen; one row
-    counts = cut(append_counts(source, existing, "_source_batch_id", UNNAMED))
-    fresh = unseen(source, existing, "_source_batch_id", UNNAMED)
-    tables.append(fresh.withColumn("_created_at", as_timestamp(as_of)), path, registry.PLAYER_FACT.partition_by)
+    counts = cut(
+        source.agg(F.count("*").alias("processed")).crossJoin(named).crossJoin(others).select(
+            "processed",
+            (F.col("_taken") + F.col("_others")).alias("inserted"),
+            F.lit(0).cast("bigint").alias("updated"),
+            (F.col("processed") - F.col("_taken") - F.col("_others")).alias("unchanged"),
+        )
+    )
+    new = None if chosen.isEmpty() else ledger.open_units(chosen, ledger_path)
+    columns = [c for c in rows.columns if c != ledger.FILE]
+    tables.append(rows.select(*columns).withColumn("_created_at", as_timestamp(as_of)), path, registry.PLAYER_FACT.partition_by)
+    if new is not None:
+        ledger.close_units(chosen, ledger_path, new)
     return counts
 
 
@@ -285,6 +323,8 @@ def run_totals(results: DataFrame) -> DataFrame:
         F.sum("processed").alias("total_processed"),
         F.sum("inserted").alias("total_inserted"),
         F.sum("updated").alias("total_updated"),
+        F.sum("unchanged").alias("total_unchanged"),
+        F.sum("rejected").alias("total_rejected"),
         F.sum("seconds").alias("seconds"),
         F.bool_and("success").alias("all_successful"),
     )

@@ -17,10 +17,11 @@ from tierkeep.operators.envelope import (
 )
 from tierkeep.operators.latest import latest_per_key
 from tierkeep.plans import bronze
-from tierkeep.plans.silver import player_rows, review_rows, store_rows
+from tierkeep.plans.silver import player_rows, review_rows, run_silver, store_rows
 from tierkeep.queries.bindings import percent
 from tierkeep.queries.registry import query, table
 from tierkeep.session import cut, scratch_path
+from tierkeep.sources import registry, tables
 from tierkeep.sources.batches import documents_statistics, read_batches, write_batches
 from tierkeep.sources.schemas import PLAYERS_DDL, REVIEWS_CORE_DDL, reviews_ddl, store_core_ddl, store_ddl, struct_of
 
@@ -288,6 +289,13 @@ def player_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("app_id", "run", "metadata", "raw_data")
 
 
+def player_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answers behind ``player_records`` as JSON text."""
+    records = player_records(spark, sf_dir)
+    answer = F.to_json(F.struct("raw_data.player_count", "raw_data.result"))
+    return records.select("app_id", "run", F.col("run").cast("timestamp").alias("ingested_at"), answer.alias("response"))
+
+
 PLAYERS_SQL = """
 pl as (select user_id, strftime(ts, '%Y-%m-%d') run, count(*) n, count(*) filter (where event_type = 'signup') signups
        from events group by 1, 2)"""
@@ -303,6 +311,55 @@ def typed_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return player_rows(read_batches(spark, path, PLAYERS_DDL)).select("app_id", "player_count", "snapshot_date")
 
 
+@query(
+    "landed_failures",
+    f"""with {PLAYERS_SQL}, {REVIEWS_SQL}
+select 'player_stats' kind, user_id app_id, run, n answered, cast(42 as bigint) code,
+       '{{"player_count":' || n || ',"result":42}}' raw_response, 'players answered another result' error
+from pl where n = signups
+union all
+select 'reviews', user_id, run, pos + neg, 0, null, 'reviews answered success=0' from re where pos + neg = 0""",
+)
+def landed_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers that were refused, read back as landed: what was answered is kept, as fields and as text."""
+    players = read_batches(spark, _landed(spark, player_records(spark, sf_dir), "players"), PLAYERS_DDL)
+    reviews = read_batches(spark, _landed(spark, review_records(spark, sf_dir), "reviews"), reviews_ddl())
+    raw = F.col("raw_data")
+    parts = (
+        ("player_stats", players, raw["player_count"], raw["result"], raw["raw_response"]),
+        # the text of these has all fields of the summary; it is compared with them in the tests
+        ("reviews", reviews, raw["query_summary"]["total_reviews"], raw["success"], F.lit(None).cast("string")),
+    )
+    frames = [
+        rows.filter("status = 'failed'").select(
+            F.lit(kind).alias("kind"),
+            F.col("request_params.app_id").cast("bigint").alias("app_id"),
+            F.substring("ingested_at", 1, 10).alias("run"),
+            answered.cast("bigint").alias("answered"),
+            code.cast("bigint").alias("code"),
+            text.alias("raw_response"),
+            F.col("error_message").alias("error"),
+        )
+        for kind, rows, answered, code, text in parts
+    ]
+    return frames[0].unionByName(frames[1])
+
+
+@query(
+    "players_landed_twice",
+    f"""with {PLAYERS_SQL}
+select cast(user_id as int) app_id, cast(n as int) player_count, run snapshot_date from pl where n > signups""",
+)
+def players_landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after two landings of the same runs, for even and odd keys, and one landing repeated under its name."""
+    answers, root = cut(player_answers(spark, sf_dir)), scratch_path(spark, "landings")
+    for odd, name in ((0, "even"), (1, None), (0, "even")):
+        bronze.land(spark, answers.filter(F.pmod("app_id", F.lit(2)) == odd), "player_stats", root, "run", landing=name)
+        run_silver(spark, root, root, as_of="2024-02-01", include=("players",))
+    fact = tables.read(spark, registry.PLAYER_FACT.path(root), registry.PLAYER_FACT.ddl)
+    return fact.select("app_id", "player_count", "snapshot_date")
+
+
 @query(
     "success_codes",
     f"""with {PLAYERS_SQL}

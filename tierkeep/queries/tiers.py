@@ -190,7 +190,8 @@ def silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "silver_run_totals",
     f"""{_RUN_SQL} select cast(sum(processed) as bigint) total_processed, cast(sum(inserted) as bigint) total_inserted,
-       cast(sum(updated) as bigint) total_updated, true all_successful from res""",
+       cast(sum(updated) as bigint) total_updated, cast(sum(unchanged) as bigint) total_unchanged,
+       cast(0 as bigint) total_rejected, true all_successful from res""",
 )
 def silver_run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_totals(silver_tiers(spark, sf_dir)[1]).drop("seconds")

@@ -14,6 +14,9 @@ from tierkeep.sources.schemas import METADATA_DDL, STATUS_SUCCESS, batch_schema,
 #: Holds the text of a document, or of a line of one, that could not be read.
 UNREADABLE = "_unreadable"
 
+#: Holds the file that a document was read from.
+FILE = "_file"
+
 #: Records that a batch document may hold.
 MOST_RECORDS = 10_000
 
@@ -32,6 +35,7 @@ def read_documents(
         .option("columnNameOfCorruptRecord", UNREADABLE)
         .option("multiLine", str(multi_line).lower())
         .json(path)
+        .select("*", F.col("_metadata.file_path").alias(FILE))
     )
     return documents if since is None else documents.filter(F.col("date").cast("string") >= F.lit(since))
 
@@ -44,12 +48,13 @@ def landed_rows(documents: DataFrame) -> DataFrame:
     """One row per record (metadata columns and ``raw_data``), and one per document without readable records.
 
     The latter have NULL in all columns but ``_unreadable``, which is empty for a document that is
-    fine JSON but holds no list of records. A batch of no records gives no row.
+    fine JSON but holds no list of records. A batch of no records gives no row. The file is passed on.
     """
     known = documents.filter("records is null or size(records) > 0")
     text = F.coalesce(F.col(UNREADABLE), F.lit(""))
-    rows = known.select(F.when(F.col("records").isNull(), text).alias(UNREADABLE), F.expr("inline_outer(records)"))
-    return rows.select("metadata.*", "raw_data", UNREADABLE)
+    file = [c for c in (FILE,) if c in documents.columns]
+    rows = known.select(F.when(F.col("records").isNull(), text).alias(UNREADABLE), *file, F.expr("inline_outer(records)"))
+    return rows.select("metadata.*", "raw_data", UNREADABLE, *file)
 
 
 def read_batches(

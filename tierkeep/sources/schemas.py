@@ -49,6 +49,7 @@ def store_ddl(names: PayloadNames = DEFAULT_NAMES) -> str:
         genres array<struct<id: string, description: string>>,
         screenshots array<struct<id: int, path_thumbnail: string, path_full: string>>,
         release_date struct<coming_soon: boolean, date: string>,
+        raw_response string,
         error string
     """
 
@@ -86,11 +87,12 @@ def reviews_ddl(names: PayloadNames = DEFAULT_NAMES) -> str:
             comment_count: int, `{names.verified_purchase}`: boolean, received_for_free: boolean,
             written_during_early_access: boolean>>,
         cursor string,
+        raw_response string,
         error string
     """
 
 
-PLAYERS_DDL = "player_count int, result int, error string"
+PLAYERS_DDL = "player_count int, result int, raw_response string, error string"
 
 RAW_HEAD_DDL = """
     record_id string, batch_id string, source string, source_endpoint string, ingested_at timestamp,

@@ -3,13 +3,18 @@
 Two layouts. Append tables are plain partitioned folders. Replaced tables get a new ``v=N`` folder
 per write and readers take the newest finished one, so a job never overwrites what it reads and a
 failed write is never seen. Dimensions keep the current slice as a replaced table and the closed
-versions as one folder per merge; a merge writes only what it changed.
+versions as one folder per merge; closed versions are never rewritten, the slice is.
+
+A writer claims its version's number by creating a file that must not be there yet, so two writers
+never write the same folder. ``release`` deletes versions that no reader needs any more.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -64,18 +69,80 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     by_folder(df, partition_by).write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
+class Conflict(RuntimeError):
+    """Another writer has written, or is writing, the version that would follow."""
+
+
+#: Seconds after which the claim of a writer that did not finish counts as left behind.
+LEASE = 3600.0
+
+
+def _claim_path(path: str, number: int) -> str:
+    return f"{path}/_claims/{number}"
+
+
+def claim(spark: SparkSession, path: str, number: int, lease: float = LEASE) -> bool:
+    """Take a version's number for this writer; False if another has it, finished or not older than ``lease``."""
+    if exists(spark, f"{path}/v={number}/{DONE}"):
+        return False
+    fs, where = _folder(spark, _claim_path(path, number))
+    try:
+        fs.create(where, False).close()
+        return True
+    except Py4JJavaError:
+        if not fs.exists(where):
+            raise
+    if time.time() - fs.getFileStatus(where).getModificationTime() / 1000 <= lease:
+        return False
+    fs.create(where, True).close()
+    return True
+
+
+def _give_up(spark: SparkSession, path: str, number: int) -> None:
+    fs, where = _folder(spark, _claim_path(path, number))
+    fs.delete(where, False)
+
+
 def replace(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", version: int | None = None
 ) -> int:
-    """Write the whole table as its next version, or as a given one; schema and content may change freely."""
+    """Write the whole table as its next version, or as a given one; schema and content may change freely.
+
+    The next version is the first that no other writer has claimed, so of writers at the same time
+    each gets its own and the highest is read. A given version is the caller's, and written over.
+    """
+    spark, claimed = df.sparkSession, version is None
     if version is None:
-        current = newest_version(df.sparkSession, path)
-        version = 0 if current is None else current + 1
-    # an unfinished attempt may have left files under this number
-    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(f"{path}/v={version}")
+        newest = newest_version(spark, path)
+        version = 0 if newest is None else newest + 1
+        while not claim(spark, path, version):
+            version += 1
+    try:
+        # an unfinished attempt may have left files under this number
+        df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(f"{path}/v={version}")
+    except Exception:
+        if claimed:
+            _give_up(spark, path, version)
+        raise
     return version
 
 
+def release(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all finished versions of a replaced table but the newest ``keep``, and return their numbers.
+
+    Readers that began before have the older of the kept ones. Of a dimension pass its ``current``
+    folder; closed versions are its history and stay.
+    """
+    if keep < 1:
+        raise ValueError("the newest version is always kept")
+    gone = finished_versions(spark, path)[:-keep]
+    for number in gone:
+        fs, where = _folder(spark, f"{path}/v={number}")
+        fs.delete(where, True)
+        _give_up(spark, path, number)
+    return gone
+
+
 def read_replaced(
     spark: SparkSession, path: str, version: int | None = None, ddl: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
@@ -86,21 +153,32 @@ def read_replaced(
     return read(spark, f"{path}/v={number}", ddl, fmt=fmt)
 
 
-def write_dimension(current: DataFrame, closed: DataFrame, path: str) -> int:
-    """Store a merge: closed versions first, then the slice whose presence makes both visible."""
+def write_dimension(current: DataFrame, closed: DataFrame, path: str, base: int | None = None) -> int:
+    """Store a merge: closed versions first, then the slice whose presence makes both visible.
+
+    ``base`` is the version that was merged into, -1 for none (by default the newest). Raises
+    ``Conflict`` if that is no longer the newest, or if another writer holds the next number.
+    """
     spark = current.sparkSession
     last = newest_version(spark, f"{path}/current")
-    version = 0 if last is None else last + 1
-    closed.drop("is_current").write.mode("overwrite").parquet(f"{path}/closed/v={version}")
-    current.drop("is_current").write.mode("overwrite").parquet(f"{path}/current/v={version}")
+    last = -1 if last is None else last
+    version = last + 1
+    if (base is not None and base != last) or not claim(spark, f"{path}/current", version):
+        raise Conflict(f"another writer is at version {version} of {path}")
+    try:
+        closed.drop("is_current").write.mode("overwrite").parquet(f"{path}/closed/v={version}")
+        current.drop("is_current").write.mode("overwrite").parquet(f"{path}/current/v={version}")
+    except Exception:
+        _give_up(spark, f"{path}/current", version)
+        raise
     return version
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """Only the current versions: one folder, whatever the length of the history."""
-    if newest_version(spark, f"{path}/current") is None:
+def read_current(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """Only the current versions, of the newest or a given merge: one folder, whatever the length of the history."""
+    if version is None and newest_version(spark, f"{path}/current") is None:
         return None
-    return read_replaced(spark, f"{path}/current").withColumn("is_current", F.lit(True))
+    return read_replaced(spark, f"{path}/current", version).withColumn("is_current", F.lit(True))
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:

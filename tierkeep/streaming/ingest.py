@@ -29,7 +29,7 @@ from tierkeep.plans.silver import (
 )
 from tierkeep.session import cut
 from tierkeep.sources import tables
-from tierkeep.sources.batches import UNREADABLE, document_schema, landed_rows
+from tierkeep.sources.batches import FILE, UNREADABLE, document_schema, landed_rows
 from tierkeep.sources.schemas import DEFAULT_NAMES, PLAYERS_DDL, REVIEWS_CORE_DDL, PayloadNames, store_core_ddl
 
 COUNTS = ("processed", "inserted", "updated", "unchanged", "rejected")
@@ -63,6 +63,7 @@ def ingest_new(
         .option("multiLine", str(multi_line).lower())
         .option("maxFilesPerTrigger", files_per_batch)
         .json(landing_path(bronze_root, kind, folders))
+        .select("*", F.col("_metadata.file_path").alias(FILE))
     )
     total = dict.fromkeys(COUNTS, 0)
 
