@@ -142,7 +142,7 @@ def test_a_merge_that_came_second_is_begun_anew(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "dim")
     rows = lambda *found: spark.createDataFrame(found, "app_id int, price int")
     silver.merge_dimension(spark, rows((1, 10), (2, 20)), DIM, path, "2024-01-01")
-    write, others = tables.write_dimension, []
+    write, others = tables.write_merge, []
 
     def late(*args):
         if not others:  # another writer gets in between reading and writing
@@ -150,13 +150,13 @@ def test_a_merge_that_came_second_is_begun_anew(spark, tmp_path, monkeypatch):
             silver.merge_dimension(spark, rows((1, 11), (3, 30)), DIM, path, "2024-01-02")
         return write(*args)
 
-    monkeypatch.setattr(tables, "write_dimension", late)
+    monkeypatch.setattr(tables, "write_merge", late)
     counts = silver.merge_dimension(spark, rows((2, 22), (3, 30)), DIM, path, "2024-01-03").first()
     assert (counts["inserted"], counts["updated"], counts["unchanged"]) == (0, 1, 1)
     found = tables.read_history(spark, path).select("app_id", "price", "is_current", "sk").collect()
     assert sorted(map(tuple, found)) == [(1, 10, False, 1), (1, 11, True, 3), (2, 20, False, 2), (2, 22, True, 5), (3, 30, True, 4)]
     with pytest.raises(tables.Conflict):
-        write(tables.read_current(spark, path), tables.read_current(spark, path), path, 0)
+        tables.write_dimension(tables.read_current(spark, path), tables.read_current(spark, path), path, 0)
 
 
 def test_release_keeps_the_newest_and_the_history(spark, tmp_path):
@@ -164,11 +164,53 @@ def test_release_keeps_the_newest_and_the_history(spark, tmp_path):
     for day, price in (("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3), ("2024-01-04", 4)):
         silver.merge_dimension(spark, spark.createDataFrame([(1, price)], "app_id int, price int"), DIM, path, day)
     before = tables.read_history(spark, path).collect()
-    assert tables.release(spark, f"{path}/current") == [0, 1]
+    assert tables.release_slices(spark, path) == 2
     assert tables.finished_versions(spark, f"{path}/current") == [2, 3]
     assert sorted(map(str, tables.read_history(spark, path).collect())) == sorted(map(str, before))
     with pytest.raises(ValueError):
-        tables.release(spark, path, 0)
+        tables.release_slices(spark, path, 0)
+    for n in (3, 4, 5):
+        assert tables.replace(spark.range(n), f"{path}-table") == n - 3
+    assert tables.release(spark, f"{path}-table", 1) == [0, 1] and tables.read_replaced(spark, f"{path}-table").count() == 5
+
+
+def written(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_a_merge_writes_what_it_changes(spark, tmp_path):
+    path, many = tmp_path / "dim", 20_000
+    prices = lambda moved: spark.range(many).select(
+        F.col("id").cast("int").alias("app_id"), F.when(F.col("id") < moved, 2).otherwise(1).alias("price"), F.md5(F.col("id").cast("string")).alias("name")
+    )
+    silver.merge_dimension(spark, prices(0), DIM, str(path), "2024-01-01")
+    whole = written(path / "current/v=0")
+    for number, (moved, most) in enumerate(((0, 0), (1, 1 / 12), (3, 3 / 12)), 1):
+        silver.merge_dimension(spark, prices(moved), DIM, str(path), f"2024-01-0{number + 1}")
+        assert written(path / f"current/v={number}") <= most * whole
+    history = tables.read_history(spark, str(path))
+    assert history.count() == many + 3 and history.filter("is_current").count() == many
+    assert sorted(r["app_id"] for r in history.filter("is_current and price = 2").collect()) == [0, 1, 2]
+    held = tables.manifest(spark, str(path), 3)
+    assert held["rows"] == many and len(held["held"]) == 16 and 2 <= len(set(held["held"].values())) <= 3
+    before = sorted(map(str, history.collect()))
+    tables.release_slices(spark, str(path), 1)
+    assert sorted(map(str, tables.read_history(spark, str(path)).collect())) == before
+
+
+def test_more_buckets_and_new_columns(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "dim")
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 2)
+    monkeypatch.setattr(tables, "BUCKETS", (1, 64))
+    one = spark.createDataFrame([(1, 10), (2, 20)], "app_id int, price int")
+    silver.merge_dimension(spark, one, DIM, path, "2024-01-01")
+    more = spark.range(3, 40).select(F.col("id").cast("int").alias("app_id"), F.lit(5).alias("price"), F.lit("x").alias("label"))
+    silver.merge_dimension(spark, more, DIM, path, "2024-01-02")
+    assert tables.manifest(spark, path, 0)["buckets"] == 1 and tables.manifest(spark, path, 1)["buckets"] > 8
+    silver.merge_dimension(spark, spark.createDataFrame([(2, 21)], "app_id int, price int"), DIM, path, "2024-01-03")
+    rows = {r["app_id"]: (r["price"], r["label"]) for r in tables.read_current(spark, path).collect()}
+    assert len(rows) == 39 and rows[1] == (10, None) and rows[2] == (21, None) and rows[30] == (5, "x")
+    assert tables.read_history(spark, path).count() == 40
 
 
 def test_failed_answers_keep_what_was_answered(spark, tmp_path):

@@ -30,12 +30,18 @@ class Dimension:
 
 @dataclass(frozen=True)
 class Merged:
-    """Outcome of a merge: the next current slice, the versions it closed, and what it counted."""
+    """Outcome of a merge: the next current slice, the versions it closed, and what it counted.
+
+    ``opened`` are the versions that the slice gains and ``replaced`` the keys of those it loses; both
+    are narrow reads of what was written, however large the slice.
+    """
 
     current: DataFrame
     closed: DataFrame
     rejected: DataFrame
     metrics: DataFrame
+    opened: DataFrame
+    replaced: DataFrame
 
 
 def classify(source: DataFrame, current: DataFrame, dim: Dimension) -> DataFrame:
@@ -106,16 +112,25 @@ def merge(source: DataFrame, current: DataFrame | None, dim: Dimension, as_of: A
         F.count_if(F.col("_status") == UNCHANGED).alias("unchanged"),
     )
     if current is None:
-        return Merged(versions, versions.filter(F.lit(False)), rejected, metrics)
+        none = versions.filter(F.lit(False))
+        return Merged(versions, none, rejected, metrics, versions, none.select(dim.key))
 
     replaced = numbered.filter(F.col("_status") == CHANGED).select(dim.key)
-    kept = current.join(replaced, dim.key, "left_anti")
-    closed = current.join(replaced, dim.key, "left_semi").withColumns(
-        {"valid_to": stamp, "is_current": F.lit(False), "_updated_at": stamp}
-    )
+    kept, closed = parted(current, replaced, dim.key, stamp)
     # a column new in either side is NULL in the other
     next_slice = kept.unionByName(versions, allowMissingColumns=True)
-    return Merged(next_slice, closed, rejected, metrics)
+    return Merged(next_slice, closed, rejected, metrics, versions, replaced)
+
+
+def parted(current: DataFrame, replaced: DataFrame, key: str, as_of: AsOf | Column) -> tuple[DataFrame, DataFrame]:
+    """The rows of a slice that stay, and those of the ``replaced`` keys, closed; by one join."""
+    stamp = as_of if isinstance(as_of, Column) else as_timestamp(as_of)
+    gone = replaced.select(F.col(key).alias("_gone"))
+    tagged = current.join(gone, F.col(key) == F.col("_gone"), "left")
+    closed = tagged.filter(F.col("_gone").isNotNull()).drop("_gone").withColumns(
+        {"valid_to": stamp, "is_current": F.lit(False), "_updated_at": stamp}
+    )
+    return tagged.filter(F.col("_gone").isNull()).drop("_gone"), closed
 
 
 def history_from_snapshots(

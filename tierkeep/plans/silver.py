@@ -161,7 +161,7 @@ def merge_dimension(spark: SparkSession, source: DataFrame, dim: Dimension, path
         current = None if base is None else tables.read_current(spark, path, base)
         merged = merge(source, current, dim, as_of)
         try:
-            tables.write_dimension(merged.current, merged.closed, path, -1 if base is None else base)
+            tables.write_merge(merged, dim.key, path, as_of, -1 if base is None else base)
         except tables.Conflict:  # another writer was first: merge into what it wrote
             if attempt == TRIES - 1:
                 raise

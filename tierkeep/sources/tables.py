@@ -2,8 +2,9 @@
 
 Two layouts. Append tables are plain partitioned folders. Replaced tables get a new ``v=N`` folder
 per write and readers take the newest finished one, so a job never overwrites what it reads and a
-failed write is never seen. Dimensions keep the current slice as a replaced table and the closed
-versions as one folder per merge; closed versions are never rewritten, the slice is.
+failed write is never seen. Dimensions keep the closed versions as one folder per merge, never
+rewritten, and the current slice in buckets of the key's hash: a merge writes only the buckets in which
+it changes a row, and a manifest per version tells which earlier version holds each of the others.
 
 A writer claims its version's number by creating a file that must not be there yet, so two writers
 never write the same folder. ``release`` deletes versions that no reader needs any more.
@@ -11,14 +12,17 @@ never write the same folder. ``release`` deletes versions that no reader needs a
 
 from __future__ import annotations
 
+import json
 import time
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from tierkeep.functions.times import AsOf
+from tierkeep.operators.scd2 import Merged, parted
 from tierkeep.sources.folders import by_folder
 from tierkeep.sources.registry import CATALOG, ITEM_DIM, REVIEW_DIM, TableSpec, empty_table
 from tierkeep.sources.schemas import struct_of
@@ -130,8 +134,8 @@ def replace(
 def release(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
     """Delete all finished versions of a replaced table but the newest ``keep``, and return their numbers.
 
-    Readers that began before have the older of the kept ones. Of a dimension pass its ``current``
-    folder; closed versions are its history and stay.
+    Readers that began before have the older of the kept ones. For a dimension's slice, whose versions
+    share buckets, see ``release_slices``.
     """
     if keep < 1:
         raise ValueError("the newest version is always kept")
@@ -174,10 +178,136 @@ def write_dimension(current: DataFrame, closed: DataFrame, path: str, base: int
     return version
 
 
+#: Rows that a bucket of a slice should have, and the fewest and most buckets.
+BUCKET_ROWS, BUCKETS = 200_000, (16, 4096)
+
+BUCKET = "_bucket"
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def _wanted_buckets(rows: int) -> int:
+    return min(max(-(-rows // BUCKET_ROWS), BUCKETS[0]), BUCKETS[1])
+
+
+def manifest(spark: SparkSession, path: str, version: int) -> dict | None:
+    """``key``, ``buckets``, ``rows``, ``schema`` and ``held`` (bucket -> version) of a slice; None if it has no buckets."""
+    where = f"{path}/manifest/v={version}"
+    if not exists(spark, where):
+        return None
+    found = json.loads(spark.read.text(where, wholetext=True).first()[0])
+    return {**found, "held": {int(b): v for b, v in found["held"].items()}}
+
+
+def _write_manifest(spark: SparkSession, path: str, version: int, content: dict) -> None:
+    fs, where = _folder(spark, f"{path}/manifest/v={version}")
+    out = fs.create(where, True)
+    out.write(bytearray(json.dumps(content).encode()))
+    out.close()
+
+
+def read_buckets(spark: SparkSession, path: str, held: dict, chosen: Iterable[int] | None = None) -> DataFrame:
+    """The slice of a manifest, or only the ``chosen`` buckets of it. Columns that older files lack are NULL."""
+    schema = StructType.fromJson(held["schema"])
+    wanted = sorted(held["held"] if chosen is None else set(chosen) & set(held["held"]))
+    folders = [f"{path}/current/v={held['held'][b]}/{BUCKET}={b}" for b in wanted]
+    rows = spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+    return rows.withColumn("is_current", F.lit(True))
+
+
+def write_merge(merged: Merged, key: str, path: str, as_of: AsOf, base: int) -> int:
+    """Store a merge into version ``base`` (-1 for none) of a dimension's slice, writing only buckets it touches.
+
+    Closed versions and manifest come first, then the buckets, whose presence makes all visible. A
+    slice without buckets, or with far too few for its rows, is written whole. Raises ``Conflict``
+    like ``write_dimension``.
+    """
+    spark = merged.opened.sparkSession
+    last = newest_version(spark, f"{path}/current")
+    last = -1 if last is None else last
+    version = last + 1
+    if base != last or not claim(spark, f"{path}/current", version):
+        raise Conflict(f"another writer is at version {version} of {path}")
+    try:
+        held = manifest(spark, path, base) if base >= 0 else None
+        opened, rows = merged.opened, merged.opened.count()
+        before = 0 if held is None else held["rows"]
+        if held is None or _wanted_buckets(before + rows) > 4 * held["buckets"]:
+            buckets, kept_buckets = None, {}
+            slice_before = read_current(spark, path, base) if base >= 0 else None
+        else:
+            buckets = held["buckets"]
+            touched = [r[0] for r in opened.select(_bucket(key, buckets)).distinct().collect()]
+            kept_buckets = {b: v for b, v in held["held"].items() if b not in touched}
+            slice_before = read_buckets(spark, path, held, touched)
+        if slice_before is None:
+            content, closed = opened, merged.closed
+        else:
+            kept, closed = parted(slice_before, merged.replaced, key, as_of)
+            content = kept.unionByName(opened, allowMissingColumns=True)
+        closed.drop("is_current").write.mode("overwrite").parquet(f"{path}/closed/v={version}")
+        gone = spark.read.parquet(f"{path}/closed/v={version}").count()
+        content = content.drop("is_current")
+        if buckets is None:
+            if base >= 0 and held is None:
+                before = slice_before.count()
+            buckets = _wanted_buckets(before + rows)
+            touched = [r[0] for r in content.select(_bucket(key, buckets)).distinct().collect()]
+        schema = content.schema.jsonValue()
+        if held is not None:  # what buckets that are not written have and the others lack
+            named = {f["name"] for f in schema["fields"]}
+            schema["fields"] += [f for f in held["schema"]["fields"] if f["name"] not in named]
+        _write_manifest(
+            spark, path, version,
+            {"key": key, "buckets": buckets, "rows": before + rows - gone, "schema": schema,
+             "held": {**kept_buckets, **dict.fromkeys(touched, version)}},
+        )
+        dealt = by_folder(content.withColumn(BUCKET, _bucket(key, buckets)), [BUCKET])
+        dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/current/v={version}")
+    except Exception:
+        _give_up(spark, f"{path}/current", version)
+        raise
+    return version
+
+
+def release_slices(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Delete what the newest ``keep`` versions of a dimension's slice do not hold; returns the number of folders."""
+    if keep < 1:
+        raise ValueError("the newest version is always kept")
+    numbers = finished_versions(spark, f"{path}/current")
+    needed: dict[int, set[int]] = {}
+    for number in numbers[-keep:]:
+        for bucket, version in ((manifest(spark, path, number) or {}).get("held") or {}).items():
+            needed.setdefault(version, set()).add(bucket)
+    gone = 0
+    for number in numbers[:-keep]:
+        fs, where = _folder(spark, f"{path}/current/v={number}")
+        if number not in needed:
+            fs.delete(where, True)
+            gone += 1
+        else:
+            names = [entry.getPath() for entry in fs.listStatus(where) if entry.getPath().getName().startswith(f"{BUCKET}=")]
+            for folder in names:
+                if int(folder.getName().split("=")[1]) not in needed[number]:
+                    fs.delete(folder, True)
+                    gone += 1
+        for left in (f"{path}/manifest/v={number}", _claim_path(f"{path}/current", number)):
+            fs, where = _folder(spark, left)
+            fs.delete(where, False)
+    return gone
+
+
 def read_current(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
-    """Only the current versions, of the newest or a given merge: one folder, whatever the length of the history."""
-    if version is None and newest_version(spark, f"{path}/current") is None:
+    """Only the current versions, of the newest or a given merge, whatever the length of the history."""
+    if version is None:
+        version = newest_version(spark, f"{path}/current")
+    if version is None:
         return None
+    held = manifest(spark, path, version)
+    if held is not None:
+        return read_buckets(spark, path, held)
     return read_replaced(spark, f"{path}/current", version).withColumn("is_current", F.lit(True))
 
 
@@ -186,7 +316,7 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     version = newest_version(spark, f"{path}/current")
     if version is None:
         raise FileNotFoundError(f"no dimension below {path}")
-    current = read_replaced(spark, f"{path}/current", version)
+    current = read_current(spark, path, version).drop("is_current")
     closed = (
         spark.read.schema(StructType([*current.schema.fields, StructField("v", IntegerType())]))
         .parquet(f"{path}/closed")
