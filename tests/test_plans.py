@@ -66,10 +66,13 @@ def test_sliced_history_scans_its_snapshots_once(spark, sf_dir):
 def test_as_of_join_never_pairs_facts_with_versions(spark):
     facts = spark.range(10).select(F.col("id").alias("k"), F.timestamp_seconds("id").alias("t"))
     history = facts.select("k", F.col("t").alias("valid_from"), F.timestamp_seconds(F.lit(99)).alias("valid_to"))
-    plan = plan_of(as_of_join(facts, history, "k", "t"))
-    joins = re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join[^\n]*", plan)
-    assert sum("FullOuter" in j for j in joins) == 1, "only the summaries of buckets are joined"
-    assert all("_key" in j and "_bucket" in j for j in joins) and len(joins) == 3, "the others tell crowded buckets"
+    crowded = facts.union(facts.select("k", F.timestamp_seconds(F.col("k") + 9).alias("t")))
+    for rows, part_rows, others in ((facts, 1_000_000, 0), (crowded, 1, 2)):
+        plan = plan_of(as_of_join(rows, history, "k", "t", part_rows=part_rows))
+        joins = re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join[^\n]*", plan)
+        assert sum("FullOuter" in j for j in joins) == 1, "only the summaries of buckets are joined"
+        assert all("_key" in j and "_bucket" in j for j in joins)
+        assert len(joins) == 1 + others, "the others tell crowded buckets, where there are any"
 
 
 def test_distinct_count_shuffles_on_group_and_item(spark):

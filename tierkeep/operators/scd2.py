@@ -293,8 +293,11 @@ def as_of_join(
     whole = F.coalesce("_parts", F.lit(1))
     dealt = F.pmod(F.xxhash64("_at", "_fact"), whole).cast("int")
     every_part = F.explode(F.sequence(F.lit(0), whole - 1))
-    asked = asked.join(crowded, ["_key", "_bucket"], "left").withColumn("_part", dealt).drop("_parts")
-    dated = dated.join(crowded, ["_key", "_bucket"], "left").withColumn("_part", every_part).drop("_parts")
+    if crowded.isEmpty():  # one part everywhere, so neither side has to be asked
+        asked, dated = (side.withColumn("_part", F.lit(0)) for side in (asked, dated))
+    else:
+        asked = asked.join(crowded, ["_key", "_bucket"], "left").withColumn("_part", dealt).drop("_parts")
+        dated = dated.join(crowded, ["_key", "_bucket"], "left").withColumn("_part", every_part).drop("_parts")
     in_force = in_force.withColumn("_part", every_part).drop("_parts")
     so_far = Window.partitionBy("_key", "_bucket", "_part").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     met = (
