@@ -45,7 +45,7 @@ def test_base_columns_and_better_scores(spark, read, sf_dir):
 def test_words_outside_the_known_ones_come_by_the_join(spark, read, monkeypatch):
     docs = read("documents").limit(80).cache()
     want = {r.doc_id: r for r in lm_scores.scored(docs).collect()}
-    monkeypatch.setattr(lm_scores, "KNOWN", 1000)
+    monkeypatch.setattr(lm_scores, "KNOWN", 3000)
     got = lm_scores.scored(docs).collect()
     same([tuple(r)[:6] for r in got], plain([(r.doc_id, r.text) for r in docs.collect()]))
     assert all(r.score == pytest.approx(want[r.doc_id].score, rel=1e-5) for r in got)

@@ -21,7 +21,7 @@ from tierkeep.session import cut
 #: Documents whose crc32(id) leaves this remainder are never learnt from.
 FOLDS, HELD_OUT = 7, 2
 
-#: Words that every task knows with their counts, none of them longer than so many bytes; all others are joined.
+#: Words that every task knows with their counts, at most, none of them longer than so many bytes; all others are joined.
 KNOWN, LONGEST = 1 << 16, 64
 
 #: Tokens that the model tells apart, besides all others together.
@@ -78,8 +78,19 @@ def count_words(texts: DataFrame) -> Counts:
     found = texts.select("text").mapInArrow(_word_counts, "word binary, c bigint")
     table = cut(found.groupBy("word").agg(F.sum("c").alias("c")))
     tokens, types = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    short = table.where(F.length("word") <= LONGEST).orderBy(F.desc("c"), "word").limit(KNOWN)
-    rows = short.collect()
+    # the most frequent words by a histogram of few thousand bins, as sorting would send every task's first KNOWN to the driver
+    short = table.where((F.length("word") <= LONGEST) & (F.col("word") != END))
+    level = F.floor(F.log2("c") * 64)
+    levels = sorted(short.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
+    lowest, sum_of = None, 0
+    for r in levels:
+        sum_of += r["count"]
+        if sum_of > KNOWN:
+            break
+        lowest = r["level"]
+    frequent = F.lit(False) if lowest is None else level >= lowest
+    rows = table.where((F.col("word") == END) | ((F.length("word") <= LONGEST) & frequent)).collect()
+    rows.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     words = [bytes(r["word"]) for r in rows]
     return Counts(table, tokens, types, words, np.array([r["c"] for r in rows], np.int64))
 
