@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs, ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,14 +32,18 @@ SEQUENCE, BATCH, FILE = 1024, 256, 1 << 24
 #: Words whose ids a worker remembers; it forgets them all when so many are reached.
 REMEMBERED = 500_000
 
+#: Bytes of text that are encoded at a time (one text may be longer), and words whose ids are laid out at a time.
+SLICE, WORDS = 4 << 20, 1 << 20
+
 
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space, so that its words can be encoded apart.
 
-    ``encode`` gives the ids of the library for the whole text, without special tokens. Words that
-    came before are remembered, the others of a batch are encoded in one call. ASCII letters need no
-    normalising but lower case, and form one piece, so for them the vocabulary's model alone is
-    asked; a full stop or comma behind them is a piece of its own.
+    ``encode`` gives the ids of the library for the whole text, without special tokens. The texts of
+    a slice are split and their words numbered by Arrow, so that Python sees each distinct word once a
+    slice; their ids are then laid out by numpy. Words that came before are remembered, the others
+    are encoded in one call. ASCII letters need no normalising but lower case, and form one piece, so
+    for them the vocabulary's model alone is asked; a full stop or comma behind them is a piece of its own.
     """
 
     def __init__(self, path: str):
@@ -46,15 +51,40 @@ class WordEncoder:
         self._whole = Tokenizer.from_file(path)
         self._letters = Tokenizer(self._whole.model)
         self.kind = np.dtype(np.uint16 if self._whole.get_vocab_size() <= 1 << 16 else np.uint32)
-        self._known: dict[bytes, bytes] = {}
+        self._known: dict[bytes, bytes] = {b"": b""}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as bytes of ``kind``."""
+        ids, ends = self.encode_column(pa.array(texts, pa.binary()).cast(pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (no NULLs) one after another, and where each text's begin, with their number last."""
+        words = pc.ascii_split_whitespace(texts)
+        first_word = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
+        numbered = words.flatten().dictionary_encode()
+        distinct = numbered.dictionary.cast(pa.binary()).to_pylist()
+        self._learn(distinct)
+        found = [self._known[w] for w in distinct]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        table, place = np.frombuffer(b"".join(found), self.kind), np.cumsum(size) - size
+        codes = numbered.indices.to_numpy(zero_copy_only=False)
+        ends = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(size[codes], out=ends[1:])
+        out = np.empty(ends[-1], self.kind)
+        for start in range(0, len(codes), WORDS):
+            some = codes[start : start + WORDS]
+            low, high = ends[start], ends[start + len(some)]
+            out[low:high] = table[np.arange(low, high) + np.repeat(place[some] - ends[start : start + len(some)], size[some])]
+        return out, ends[first_word.astype(np.int64)]
+
+    def _learn(self, words: list[bytes]) -> None:
         if len(self._known) > REMEMBERED:
-            self._known.clear()
-        known, parted = self._known, [t.split() for t in texts]
-        ends, letters, others = {}, set(), []
-        for word in {w for words in parted for w in words if w not in known}:
+            self._known = {b"": b""}
+        known, ends, letters, others = self._known, {}, set(), []
+        for word in words:
+            if word in known:
+                continue
             stem = word[:-1] if word[-1:] in (b".", b",") else word
             if stem.isalpha():  # of bytes: ASCII letters only
                 ends[word] = (stem.lower(), word[len(stem) :])
@@ -68,7 +98,6 @@ class WordEncoder:
         known.update(zip(others, self._ids(self._whole, others)))
         for word, (stem, mark) in ends.items():
             known[word] = known[stem] + known[mark]
-        return [b"".join(map(known.__getitem__, words)) for words in parted]
 
     def _ids(self, tokenizer: Tokenizer, words: list[bytes]) -> list[bytes]:
         if not words:
@@ -93,6 +122,15 @@ def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``SLICE`` bytes of text each, of one row at least."""
+    size = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(size) - size) // SLICE
+    starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(starts, starts[1:]):
+        yield batch.slice(a, b - a)
+
+
 class _FileWriter:
     """One file at a time, a record batch whenever enough ids have come. The name is never used twice,
     so what a lost task wrote stays behind unread."""
@@ -154,14 +192,14 @@ def write_tokens(
 
     The index has a row per document: ``doc_id``, ``file``, ``part`` and ``file_no`` (which order the
     files), ``first`` (its first id's place in the file) and ``n_tokens`` (with the end id). Texts
-    are range-partitioned by id, so files in order hold ids in order; documents of one id follow
-    each other in the order of their texts, NULL ids come first, NULL texts are empty. A task keeps
-    one record batch in memory. ``docs`` needs ``doc_id`` and ``text``. No documents give no files.
+    are range-partitioned by id, then by how they begin, so files in order hold ids in order and an id
+    of very many documents spreads over tasks; documents of one id follow each other in the order of
+    their texts, NULL ids come first, NULL texts are empty. A task keeps one record batch in memory. ``docs`` needs ``doc_id`` and ``text``. No documents give no files.
     """
     system, path = _filesystem(folder)
     system.create_dir(path, recursive=True)
     text = F.coalesce("text", F.lit("")).alias("text")
-    placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text).repartitionByRange("doc_id")
+    placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text).repartitionByRange("doc_id", F.substring("text", 1, 64))
     placed = placed.sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,20 +207,21 @@ def write_tokens(
         closing = np.array([end_id], encoder.kind).tobytes()
         out, part, file_no = None, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                rows = batch.slice(start, 200)
+            if not batch.num_rows:
+                continue
+            for rows in _slices(batch):
                 index: dict[str, list] = {n: [] for n in ("doc_id", "part", "file", "file_no", "first", "n_tokens")}
-                texts = rows.column("text").cast(pa.binary()).to_pylist()
-                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encoder.encode(texts)):
+                flat, ends = encoder.encode_column(rows.column("text"))
+                for doc_id, a, b in zip(rows.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
                     if out is None:
                         out = _FileWriter(folder, sequence, encoder.kind)
                     elif out.ids >= file_ids:
                         out.roll()
                         file_no += 1
-                    row = (doc_id, part, out.name, file_no, out.ids, len(ids) // encoder.kind.itemsize + 1)
+                    row = (doc_id, part, out.name, file_no, out.ids, b - a + 1)
                     for values, value in zip(index.values(), row):
                         values.append(value)
-                    out.add(ids + closing)
+                    out.add(flat[a:b].tobytes() + closing)
                 yield pa.RecordBatch.from_pydict(
                     index, schema=pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("file", pa.string()),
                                              ("file_no", pa.int32()), ("first", pa.int64()), ("n_tokens", pa.int64())])
@@ -202,21 +241,30 @@ class TokenFile:
         self._source = pa.memory_map(f"{path}/{name}") if local else system.open_input_file(f"{path}/{name}")
         self._file = ipc.open_file(self._source)
         self._sequence = self._file.schema.field("ids").type.list_size
-        self._at, self._flat = -1, None
+        self._at, self._flat, self._real = -1, None, None
 
-    def _batch(self, number: int) -> np.ndarray:
+    def _batch(self, number: int) -> None:
         if number != self._at:
-            lists = self._file.get_batch(number).column(0)
-            self._at, self._flat = number, lists.flatten().to_numpy(zero_copy_only=True)
-        return self._flat
+            ids, mask = self._file.get_batch(number).columns
+            self._flat = ids.flatten().to_numpy(zero_copy_only=True)
+            self._real = mask.flatten().to_numpy(zero_copy_only=False)
+            self._at = number
 
     def ids(self, first: int, n: int) -> np.ndarray:
-        """Ids ``first`` to ``first + n``; a view of the file if they lie in one record batch."""
+        """Ids ``first`` to ``first + n`` that the masks do not call filling; a view of the file if they
+        lie in one record batch. Fewer than ``n`` come back if the file ends before."""
         step, parts, last = self._sequence * BATCH, [], first + n
         while first < last:
             number, place = divmod(first, step)
-            parts.append(self._batch(number)[place : place + last - first])
-            first += len(parts[-1])
+            if number >= self._file.num_record_batches:
+                break
+            self._batch(number)
+            span = slice(place, place + last - first)
+            flat, real = self._flat[span], self._real[span]
+            parts.append(flat if real.all() else flat[real])
+            first += len(flat)
+            if len(real) < min(step - place, last - first + len(flat)):
+                break
         return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, np.uint16)
 
     def sequence(self, number: int) -> tuple[np.ndarray, np.ndarray]:
@@ -229,34 +277,39 @@ class TokenFile:
         self._source.close()
 
 
-def read_documents(index: DataFrame, folder: str) -> DataFrame:
+def read_documents(index: DataFrame, folder: str, end_id: int = 1) -> DataFrame:
     """What the files hold for every document of the index: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32``.
 
-    ``start`` counts the ids of all documents before it, over all files; ``ids_crc32`` is taken of
-    the ids read back, as little-endian 32-bit integers. The window that adds up files runs over one
-    row per file.
+    ``n_tokens`` counts the ids read back whose mask is true, ``start`` those of all documents before,
+    over all files, and ``ids_crc32`` is taken of them as little-endian 32-bit integers. The index only
+    tells where to look: ValueError is raised if a file holds fewer ids than it says, or no end id behind
+    them. The window that adds up files runs over one row per file.
     """
-    files = index.groupBy("part", "file_no", "file").agg(F.sum("n_tokens").alias("_n"))
-    earlier = Window.orderBy("part", "file_no").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select(F.col("file").alias("_file"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    offsets = cut(files)
 
     def read(batch: pa.RecordBatch) -> dict[str, object]:
-        crc, now, opened = [], None, None
+        crc, counts, now, opened = [], [], None, None
         for name, first, n in zip(*(batch.column(c).to_pylist() for c in ("file", "first", "n_tokens"))):
             if name != now:
                 if opened is not None:
                     opened.close()
                 now, opened = name, TokenFile(folder, name)
-            crc.append(zlib.crc32(opened.ids(first, n).astype("<u4").tobytes()))
+            ids = opened.ids(first, n)
+            if len(ids) != n or ids[-1] != end_id:
+                raise ValueError(f"{name} does not hold the {n} ids from {first} on that its index names")
+            counts.append(len(ids))
+            crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
+        if opened is not None:
+            opened.close()
         return {
-            **{c: batch.column(c) for c in ("doc_id", "file", "first", "n_tokens")},
+            **{c: batch.column(c) for c in ("doc_id", "part", "file_no", "file", "first")},
+            "n_tokens": pa.array(counts, pa.int64()),
             "ids_crc32": pa.array(crc, pa.int64()),
         }
 
-    checked = map_batches(
-        index.select("doc_id", "file", "first", "n_tokens"), read, "doc_id bigint, file string, first bigint, n_tokens bigint, ids_crc32 bigint"
-    )
+    checked = cut(map_batches(index, read, f"{_INDEX}, ids_crc32 bigint"))
+    files = checked.groupBy("part", "file_no", "file").agg(F.sum("n_tokens").alias("_n"))
+    earlier = Window.orderBy("part", "file_no").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut(files.select(F.col("file").alias("_file"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
     joined = checked.join(offsets, F.col("file") == F.col("_file"))
     return joined.select("doc_id", (F.col("_before") + F.col("first")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")
 
@@ -264,4 +317,4 @@ def read_documents(index: DataFrame, folder: str) -> DataFrame:
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str | None = None) -> DataFrame:
     """Write the files below ``folder`` (a new one in the shared folder if none is given) and read them back."""
     target = scratch_path(docs.sparkSession, "tokens") if folder is None else folder
-    return read_documents(write_tokens(docs, target, tokenizer, end_id), target)
+    return read_documents(write_tokens(docs, target, tokenizer, end_id), target, end_id)
