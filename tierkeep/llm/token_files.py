@@ -9,6 +9,7 @@ division and read without copying or decoding. An index table lists where each d
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -33,7 +34,16 @@ SEQUENCE, BATCH, FILE = 1024, 256, 1 << 24
 REMEMBERED = 500_000
 
 #: Bytes of text that are encoded at a time (one text may be longer), and words whose ids are laid out at a time.
-SLICE, WORDS = 4 << 20, 1 << 20
+SLICE, WORDS = 16 << 20, 1 << 20
+
+# A word of Latin letters, each one code point, and ASCII signs behind it that form one piece: no
+# apostrophe, which may begin a piece of its own, and none of the signs that special tokens are written with.
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:;=?@\[-`{}~]*)")
+
+# The signs that byte-level vocabularies write for the bytes 0 to 255: the byte itself if that is a
+# visible Latin-1 sign, else the next free one from 256 on.
+_VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SIGNS = dict(zip((b for b in range(256) if b not in _VISIBLE), range(256, 512)))
 
 
 class WordEncoder:
@@ -42,8 +52,9 @@ class WordEncoder:
     ``encode`` gives the ids of the library for the whole text, without special tokens. The texts of
     a slice are split and their words numbered by Arrow, so that Python sees each distinct word once a
     slice; their ids are then laid out by numpy. Words that came before are remembered, the others
-    are encoded in one call. ASCII letters need no normalising but lower case, and form one piece, so
-    for them the vocabulary's model alone is asked; a full stop or comma behind them is a piece of its own.
+    are encoded in one call. Latin letters need no normalising but lower case, and form one piece, so
+    for them the vocabulary's model alone is asked, in the signs it has for their bytes; signs behind
+    them are a piece of their own.
     """
 
     def __init__(self, path: str):
@@ -85,24 +96,27 @@ class WordEncoder:
         for word in words:
             if word in known:
                 continue
-            stem = word[:-1] if word[-1:] in (b".", b",") else word
-            if stem.isalpha():  # of bytes: ASCII letters only
-                ends[word] = (stem.lower(), word[len(stem) :])
-                letters.add(stem.lower())
+            plain = _PLAIN.fullmatch(word.decode())
+            if plain is not None:
+                stem = plain[1].lower()
+                ends[word] = (stem, plain[2])
+                letters.add(stem)
             else:
-                others.append(word)
-        for mark in {mark for _, mark in ends.values()}:
-            known.setdefault(mark, b"" if not mark else self._ids(self._whole, [mark])[0])
-        fresh = [w for w in letters if w not in known]
-        known.update(zip(fresh, self._ids(self._letters, fresh)))
-        known.update(zip(others, self._ids(self._whole, others)))
+                others.append(word.decode())
+                ends[word] = (others[-1], "")
+        marks = list({mark for _, mark in ends.values()})
+        letters = list(letters)
+        signs = [w if w.isascii() else w.encode().decode("latin-1").translate(_SIGNS) for w in letters]
+        fresh = dict(zip(others, self._ids(self._whole, others)))
+        fresh.update(zip(letters, self._ids(self._letters, signs)))
+        behind = {"": b"", **dict(zip(marks, (self._ids(self._whole, [m])[0] if m else b"" for m in marks)))}
         for word, (stem, mark) in ends.items():
-            known[word] = known[stem] + known[mark]
+            known[word] = fresh[stem] + behind[mark]
 
-    def _ids(self, tokenizer: Tokenizer, words: list[bytes]) -> list[bytes]:
+    def _ids(self, tokenizer: Tokenizer, words: list[str]) -> list[bytes]:
         if not words:
             return []
-        found = tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
+        found = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, self.kind).tobytes()
         of = np.array([-1 if i is None else i for i in found.word_ids], np.int64)
         at = (np.searchsorted(of, np.arange(len(words) + 1)) * self.kind.itemsize).tolist()
