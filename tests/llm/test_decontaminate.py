@@ -70,7 +70,7 @@ def test_edges(spark, edge, nothing):
     found = d.contamination(edge, benchmark).collect()
     assert len(found) == edge.count()
     by = {r.doc_id: r for r in found if r.doc_id is not None}
-    assert by[1].item_ids == [1] and by[1].n_items == 3 and by[7].item_ids == [4]
+    assert by[1].item_ids == [1] and by[1].n_items == 3 and by[7].item_ids == [4, 5]
     assert not by[3].contaminated and not by[4].contaminated
     kept = d.decontaminated(edge, benchmark)
     assert kept.columns == edge.columns
@@ -84,3 +84,21 @@ def test_a_passage_in_very_many_documents(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", f"concat('a', id, ' {passage}') as text")
     benchmark = spark.createDataFrame([(9, passage)], "item_id bigint, text string")
     assert d.contamination(docs, benchmark).where("contaminated and item_ids = array(9L)").count() == 3000
+
+
+def test_short_tests_match_as_a_whole(spark):
+    docs = spark.createDataFrame([(1, "x alpha beta gamma y"), (2, "alpha beta y gamma"), (3, "a 中文測試 b"), (4, "gamma")], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(1, "Alpha beta, gamma"), (2, "中文測試"), (3, "?")], "item_id bigint, text string")
+    assert {r.doc_id: r.item_ids for r in d.contamination(docs, benchmark).collect()} == {1: [1], 2: [], 3: [2], 4: []}
+    assert [r.doc_id for r in d.decontaminated(docs, benchmark).orderBy("doc_id").collect()] == [2, 4]
+
+
+def test_a_common_opening_moves_no_text(spark):
+    opening = "which of the following is true of"
+    docs = spark.range(400).selectExpr("id as doc_id", f"concat('{opening} d', id, ' e', id) as text")
+    docs = docs.union(spark.createDataFrame([(1000, f"{opening} " + " ".join(f"t7w{i}" for i in range(20)))], "doc_id bigint, text string"))
+    tests = [(n, f"{opening} " + " ".join(f"t{n}w{i}" for i in range(20))) for n in range(50)]
+    benchmark = spark.createDataFrame(tests, "item_id bigint, text string")
+    assert d.matches(docs, benchmark).count() == 401 * 50
+    assert [(r.item_id, r.matched_words) for r in d.matches(docs, benchmark, d.COVERAGE).collect()] == [(7, 27)]
+    assert d.decontaminated(docs, benchmark).count() == 400

@@ -8,13 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tierkeep.llm.batches import map_batches, texts_as_bytes
 from tierkeep.llm.packing import packed, unpacked
 from tierkeep.session import cut
 
-#: Words of the shortest tile, and the share of a test's words that tiles must cover.
+#: Words of the shortest tile (of a shorter test: all its words), and the share of a test's words that tiles must cover.
 TILE, COVERAGE = 5, 0.6
 
 #: The sieve of seeds has 2^24 places, one bit each (2 MiB), whatever the size of the benchmark; a
@@ -105,14 +105,25 @@ def tiles(text: list[bytes], test: list[bytes], least: int = TILE) -> list[tuple
     return found
 
 
-def _seeds_of(words: list[bytes]) -> np.ndarray:
-    return np.unique(rolling(word_numbers(words), TILE))
+def tile_words(test: list[bytes]) -> int:
+    """Words of the shortest tile, and of a seed, of a test."""
+    return min(TILE, len(test))
 
 
-@F.arrow_udf(ArrayType(LongType()))
+_SEEDS = ("seed", "n", "words", "least")
+
+
+@F.arrow_udf(ArrayType(StructType([StructField(name, LongType()) for name in _SEEDS])))
 def _seeds(texts: pa.Array) -> pa.Array:
-    """Hashes of the distinct seeds of each text."""
-    return pa.array([_seeds_of(words_of(t)).view(np.int64) for t in texts_as_bytes(texts)], pa.list_(pa.int64()))
+    """Hashes of the distinct seeds of each test, their places in it, and the words of test and seed."""
+    rows = []
+    for t in texts_as_bytes(texts):
+        words = words_of(t)
+        least = tile_words(words)
+        seeds, n = np.unique(rolling(word_numbers(words), least), return_counts=True) if words else ((), ())
+        rows.append([{"seed": int(s), "n": int(k), "words": len(words), "least": least} for s, k in zip(np.asarray(seeds, np.uint64).view(np.int64), n)])
+    kinds = [(name, pa.int64()) for name in _SEEDS]
+    return pa.array(rows, pa.list_(pa.struct(kinds)))
 
 
 def _sieve(seeds: DataFrame) -> bytes:
@@ -136,16 +147,17 @@ def _passes(seeds: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return passed
 
 
-def _sifted(sieve: bytes):
-    """A function of texts: the seeds of each that may be seeds of a test."""
+def _sifted(sieve: bytes, lengths: list[int]):
+    """A function of texts: the seeds of each, of all lengths that seeds of tests have, that may be seeds of a test."""
 
     @F.arrow_udf(ArrayType(LongType()))
     def sift(texts: pa.Array) -> pa.Array:
         bits = np.frombuffer(sieve, np.uint32)
         rows = []
         for t in texts_as_bytes(texts):
-            seeds = rolling(word_numbers(words_of(t)), TILE)
-            rows.append(np.unique(seeds[_passes(seeds, bits)]).view(np.int64))
+            numbers = word_numbers(words_of(t))
+            found = [seeds[_passes(seeds, bits)] for seeds in (rolling(numbers, n) for n in lengths)]
+            rows.append(np.unique(np.concatenate([np.empty(0, np.uint64), *found])).view(np.int64))
         return pa.array(rows, pa.list_(pa.int64()))
 
     return sift.asNondeterministic()  # else Spark sifts once for the filter on the seeds, and again for them
@@ -156,7 +168,7 @@ def _tiled(batch: pa.RecordBatch) -> dict[str, object]:
     found = []
     for text, test in zip(texts, tests):
         words = words_of(test)
-        marked = tiles(words_of(text), words)
+        marked = tiles(words_of(text), words, max(tile_words(words), 1))
         covered = sum(length for *_, length in marked)
         found.append((covered, len(words), len(marked), max((length for *_, length in marked), default=0)))
     covered, whole, n, longest = zip(*found) if found else ((), (), (), ())
@@ -182,22 +194,29 @@ def with_key(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_key1": F.xxhash64(text), "_key2": F.xxhash64(F.lit("second"), text)})
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.0) -> DataFrame:
     """Every distinct text of ``docs`` and test that share a seed, with their tiles' sums; written once.
 
     Texts that share no seed with any test, nearly all, are sifted out where they lie by a bitmap of
     fixed size; what it lets through by chance has no partner in the join. The others are reduced to
     one row per text, and seeds meet in a join on their hash: a seed that many texts share is a
     large key of it, which adaptive execution splits. Pairs are distinct, at most one per text and test.
+
+    With ``coverage``, pairs that cannot reach it are left out before texts move: a tile of t words
+    holds at least t / l seeds of l words, so of a test of m words at least coverage * m / l places
+    begin a shared seed. A common opening therefore brings no text to the tests that share only it.
     """
     numbered = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("_test"))
     tests = cut(numbered.withColumn("_test_no", F.monotonically_increasing_id()))
-    seeds = cut(tests.select("_test_no", F.explode(_seeds(F.col("_test"))).alias("seed")))
-    sift = _sifted(_sieve(seeds))
+    seeds = cut(tests.select("_test_no", F.inline(_seeds(F.col("_test")))))
+    lengths = sorted(r["least"] for r in seeds.select("least").distinct().collect())  # at most TILE of them
+    sift = _sifted(_sieve(seeds), lengths)
     passed = docs.select("text", sift(F.col("text")).alias("_seeds")).where(F.size("_seeds") > 0)
     rows = cut(with_key(passed).dropDuplicates(list(KEY)))
     asked = rows.select(*KEY, F.explode("_seeds").alias("seed"))
-    pairs = asked.join(seeds, "seed").select(*KEY, "_test_no").distinct()
+    shared = asked.join(seeds, "seed").groupBy(*KEY, "_test_no")
+    shared = shared.agg(F.sum("n").alias("_n"), F.max("words").alias("_words"), F.max("least").alias("_least"))
+    pairs = shared.where(F.col("_n") * F.col("_least") >= F.lit(coverage) * F.col("_words")).select(*KEY, "_test_no")
     both = pairs.join(rows.select(*KEY, F.col("text").alias("_text")), list(KEY)).join(tests, "_test_no")
     return cut(map_batches(both.select(*KEY, "item_id", "_text", "_test"), _tiled, _MATCH))
 
@@ -210,11 +229,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     """One row per document: ``doc_id``, ``contaminated``, ``coverage``, ``n_items``, ``item_ids``.
 
     A document is contaminated by a test if tiles of at least 5 words, in any order, cover at least
-    ``coverage`` of the test's words. ``coverage`` is the largest share found for any test that
+    ``coverage`` of the test's words; a test of fewer words must stand in it as a whole. Bytes from 128
+    on count as letters, so a run of a script without spaces is one word. ``coverage`` is the largest share found for any test that
     shares a seed (0 if none does), ``item_ids`` the sorted ids of the contaminating tests.
     ``docs`` needs ``doc_id`` and ``text``; NULL and empty texts are clean. Repeated rows are
     judged one by one, repeated tests count each, tests without id contaminate without being
-    listed. Tests of fewer words than a tile, or without text, match nothing. No documents give no
+    listed. Tests without words match nothing. No documents give no
     rows; without tests all are clean.
     """
     hit = _is_hit(coverage)
@@ -243,6 +263,6 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVE
     The contaminated texts' keys are written, so that Spark can broadcast them if they are few and
     the documents stay where they are.
     """
-    hits = cut(matches(docs, benchmark).where(_is_hit(coverage)).select(*KEY).distinct())
+    hits = cut(matches(docs, benchmark, coverage).where(_is_hit(coverage)).select(*KEY).distinct())
     clean = with_key(packed(docs, ["text"])).join(hits, list(KEY), "left_anti")
     return clean.select(*unpacked(clean, docs.columns, ["text"]))
