@@ -288,7 +288,7 @@ def run_silver(
     as_of: AsOf | None = None,
     include: tuple[str, ...] = ("items", "reviews", "players"),
     names: PayloadNames = DEFAULT_NAMES,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     since: str | None = None,
     folders: Mapping[str, str] | None = None,
 ) -> DataFrame:

@@ -22,24 +22,63 @@ MOST_RECORDS = 10_000
 
 
 def read_documents(
-    spark: SparkSession, path: str, payload_ddl: str, multi_line: bool = False, since: str | None = None
+    spark: SparkSession, path: str, payload_ddl: str, multi_line: bool | None = None, since: str | None = None
 ) -> DataFrame:
     """All batch documents below ``path`` (``date=YYYY-MM-DD`` folders), readable or not.
 
-    Files written by ``write_batches`` hold one document per line and split over tasks; files holding
-    a single pretty-printed document need ``multi_line`` (without it each of their lines comes out as
-    unreadable). ``since`` reads only folders from that day on.
+    One folder may hold files with a document per line, as ``write_batches`` writes them, which split
+    over tasks, and files with one document spread over lines: ``spread_files`` tells them apart. With
+    ``multi_line`` true or false all files are taken for one form and none is looked at beforehand.
+    ``since`` reads only folders from that day on.
     """
-    documents = (
+    if multi_line is not None:
+        return _wanted(_read_form(spark, path, path, payload_ddl, multi_line), since)
+    spread = spread_files(spark, path, payload_ddl, since)
+    lines = _wanted(_read_form(spark, path, path, payload_ddl, False), since)
+    if not spread:
+        return lines
+    named = spark.createDataFrame([(name,) for name in spread], "_spread string")
+    lines = lines.join(named, F.col(FILE) == F.col("_spread"), "left_anti")
+    return lines.unionByName(_read_form(spark, spread, path, payload_ddl, True))
+
+
+def _read_form(
+    spark: SparkSession, files: str | list[str], base: str, payload_ddl: str, multi_line: bool
+) -> DataFrame:
+    return (
         spark.read.schema(document_schema(payload_ddl))
         .option("columnNameOfCorruptRecord", UNREADABLE)
         .option("multiLine", str(multi_line).lower())
-        .json(path)
+        .option("basePath", base)
+        .json(files)
         .select("*", F.col("_metadata.file_path").alias(FILE))
     )
+
+
+def _wanted(documents: DataFrame, since: str | None) -> DataFrame:
     return documents if since is None else documents.filter(F.col("date").cast("string") >= F.lit(since))
 
 
+def spread_files(spark: SparkSession, path: str, payload_ddl: str, since: str | None = None) -> list[str]:
+    """The files below ``path`` that hold one document spread over lines, sorted.
+
+    A file is asked about only if one of its lines neither is empty nor begins with { and ends with },
+    which is seen without parsing. It is of the line form all the same if a line of it is a document
+    with records, or if the file as a whole is JSON without a list of records: then its lines tell
+    more. A broken file without any whole line counts as spread, so that it comes out once, not line
+    by line. Only names reach the driver, which lists the files anyway.
+    """
+    line = F.trim(F.regexp_replace("value", r"[\r\uFEFF]", ""))
+    texts = _wanted(spark.read.option("basePath", path).text(path).select("*", F.col("_metadata.file_path").alias(FILE)), since)
+    doubtful = texts.filter((line != "") & ~(line.startswith("{") & line.endswith("}")))
+    names = sorted(r[0] for r in doubtful.select(FILE).distinct().collect())
+    if not names:
+        return []
+    by_line = _read_form(spark, names, path, payload_ddl, False).filter("records is not null").select(FILE).distinct()
+    whole = _read_form(spark, names, path, payload_ddl, True).filter(f"records is not null or {UNREADABLE} is not null")
+    return sorted(r[0] for r in whole.select(FILE).distinct().join(by_line, FILE, "left_anti").collect())
+
+
 def document_schema(payload_ddl: str) -> StructType:
     return batch_schema(payload_ddl).add(UNREADABLE, "string")
 
@@ -61,7 +100,7 @@ def read_batches(
     spark: SparkSession,
     path: str,
     payload_ddl: str,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     since: str | None = None,
 ) -> DataFrame:
     """Records of all readable batch documents; see ``read_documents`` and ``landed_rows`` for the others.
