@@ -360,6 +360,21 @@ def players_landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.select("app_id", "player_count", "snapshot_date")
 
 
+@query(
+    "mixed_document_forms",
+    f"""with {PLAYERS_SQL}
+select cast(user_id as int) app_id, cast(n as int) player_count, run snapshot_date from pl where n > signups""",
+)
+def mixed_document_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts out of a folder where every tenth day's documents are files of their own, spread over lines."""
+    landed = spark.read.text(_landed(spark, player_records(spark, sf_dir), "players")).withColumn("date", F.col("date").cast("string"))
+    mixed, own_file = scratch_path(spark, "mixed"), F.col("date").endswith("1")
+    landed.filter(~own_file).write.partitionBy("date").text(mixed)
+    spread = landed.filter(own_file).withColumn("value", F.regexp_replace("value", r'([\[,])(\{"metadata":|"records":)', "$1\n  $2"))
+    spread.write.mode("append").partitionBy("date").option("maxRecordsPerFile", 1).text(mixed)
+    return player_rows(read_batches(spark, mixed, PLAYERS_DDL)).select("app_id", "player_count", "snapshot_date")
+
+
 @query(
     "success_codes",
     f"""with {PLAYERS_SQL}
