@@ -31,10 +31,10 @@ from tierkeep.session import cut, scratch_path
 SEQUENCE, BATCH, FILE = 1024, 256, 1 << 24
 
 #: Words whose ids a worker remembers; it forgets them all when so many are reached.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 #: Bytes of text that are encoded at a time (one text may be longer), and words whose ids are laid out at a time.
-SLICE, WORDS = 16 << 20, 1 << 20
+SLICE, WORDS = 8 << 20, 1 << 20
 
 # A word of Latin letters, each one code point, and ASCII signs behind it that form one piece: no
 # apostrophe, which may begin a piece of its own, and none of the signs that special tokens are written with.
@@ -213,7 +213,7 @@ def write_tokens(
     system, path = _filesystem(folder)
     system.create_dir(path, recursive=True)
     text = F.coalesce("text", F.lit("")).alias("text")
-    placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text).repartitionByRange("doc_id", F.substring("text", 1, 64))
+    placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text).repartitionByRange("doc_id", F.substring("text", 1, 16))
     placed = placed.sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
