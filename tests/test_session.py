@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+from pathlib import Path
 from types import SimpleNamespace
+from urllib.parse import urlparse
 
 import pytest
 
-from tierkeep.session import cut, scratch_path, shared_folder
+from tierkeep.session import cut, scratch, scratch_path, shared_folder
 
 
 def session(master, named=None, current=None):
@@ -38,3 +40,28 @@ def test_cut_rows_keep_their_schema_and_forget_their_making(spark):
     assert kept.schema.simpleString() == rows.schema.simpleString()
     assert sorted(map(str, kept.collect())) == sorted(map(str, rows.collect()))
     assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def folder(table):
+    return Path(urlparse(table.inputFiles()[0]).path).parent
+
+
+def test_tables_of_a_scratch_block_are_deleted_but_for_kept_ones(spark):
+    before = cut(spark.range(3))
+    with scratch(spark) as keep_outer:
+        with scratch(spark) as keep:
+            lost, kept = cut(spark.range(4)), keep(cut(spark.range(5)))
+            gone = folder(lost)
+        assert not gone.exists() and kept.count() == 5
+        last = folder(kept)
+        result = keep_outer(cut(spark.range(6)))
+    assert not last.exists()
+    assert before.count() == 3 and result.count() == 6
+
+
+def test_an_error_deletes_nothing(spark):
+    with pytest.raises(ValueError):
+        with scratch(spark):
+            table = cut(spark.range(4))
+            raise ValueError
+    assert table.count() == 4

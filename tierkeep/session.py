@@ -4,10 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+class _Unnoted:
+    """Takes notes and forgets them."""
+
+    def append(self, note: object) -> None:
+        pass
+
+
 def local_session(app: str = "tierkeep", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
     return (
@@ -56,4 +66,39 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "kept")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.get().append((kept, path))
+    return kept
+
+
+#: Tables written by ``cut`` in the innermost open ``scratch``; outside any, nothing is noted.
+_written: ContextVar[list[tuple[DataFrame, str]] | _Unnoted] = ContextVar("written", default=_Unnoted())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block at whose end the tables that ``cut`` wrote inside are deleted.
+
+    The function that it yields is given a table that is to outlast the block, as ``cut`` returned
+    it, and returns it; the block around, if there is one, deletes it then. After an error nothing
+    is deleted. Rows that are still to be read from a deleted table are lost, so results must be cut
+    and kept, or be asked for inside.
+    """
+    outer, inner = _written.get(), []
+    kept: list[DataFrame] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    token = _written.set(inner)
+    try:
+        yield keep
+    finally:
+        _written.reset(token)
+    for table, path in inner:
+        if any(table is k for k in kept):
+            outer.append((table, path))
+        else:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
