@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_simhash import brute_components
@@ -49,19 +50,52 @@ def made_texts():
     return texts
 
 
-def test_near_copies_share_a_key_whatever_is_common():
+def test_shingles_are_told_apart_like_tuples_of_words():
+    for text in [*made_texts(), "", "a", "a b c", "c b a", "a a a a a a a a"]:
+        assert len(n.shingles(text.encode())) == len(plain_shingles(text))
+    a, b = ("one two three four five six".encode(), "zero one two three four five".encode())
+    assert len(np.intersect1d(n.shingles(a), n.shingles(b))) == 1
+    assert not len(np.intersect1d(n.shingles(b"a b"), n.shingles(b"b a")))
+
+
+def test_chance_that_near_copies_share_a_key():
     rng = np.random.default_rng(3)
-    for size in [*range(1, 60), 100, 333, 334, 1000]:
-        for trial in range(12):
-            pool = rng.integers(0, 2**63, 3 * size + 4).astype(np.uint64)
-            less, more = sorted(rng.integers(0, size // 4 + 1, 2))
-            a = np.unique(pool[:size])
-            b = np.unique(np.concatenate([pool[less:size], pool[size : size + more - less]]))
-            if not len(b) or not n.near(a, b):
-                continue
-            common = np.unique(rng.choice(pool, int(len(pool) * trial / 12)))
-            counts = rng.integers(3, 90, len(common))
-            assert np.isin(n.keys(a, common, counts), n.keys(b, common, counts)).any(), (size, trial)
+    missed, met = 0, 0
+    for size in (36, 90, 450):
+        for _ in range(700):
+            pool = rng.integers(0, 2**63, 2 * size).astype(np.uint64)
+            apart = size // 9  # of each: 8/9 shared of 10/9, exactly 0.8
+            a, b = np.sort(pool[:size]), np.sort(pool[apart : size + apart])
+            missed += not np.isin(n.keys(a), n.keys(b)).any()
+            met += np.isin(n.keys(a), n.keys(np.sort(pool[size // 2 : size + size // 2]))).any()
+    assert missed <= 2 and met < 0.2 * 2100
+
+
+def template_pages(pages, own=8):
+    """Pages of one template, no two of them near copies, and a near copy of every fiftieth."""
+    head, texts = " ".join(f"t{i}" for i in range(44)), []
+    for i in range(pages):
+        words = [f"p{i}w{j}" for j in range(own)]
+        texts.append(f"{head} {' '.join(words)}")
+        if i % 50 == 0:
+            texts.append(f"{head} {' '.join(words[:-1])} other{i}")
+    return texts
+
+
+def test_pages_of_a_template_are_not_compared_all_with_all(spark):
+    rows = list(enumerate(template_pages(600)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    crowd = n._known(docs).select("print", "n", F.col("print").alias("part"), "doc_id")
+    pairs = n._by_rarest(crowd.drop("doc_id"), crowd, docs)
+    assert pairs.count() <= 2 * len(rows)
+    assert sorted(r.doc_id for r in n.without_near_copies(docs).collect()) == brute_kept(rows)
+
+
+def test_crowded_keys_give_the_same_documents(spark, monkeypatch):
+    rows = list(enumerate(made_texts()))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(n.links, "__defaults__", (1,))
+    assert sorted(r.doc_id for r in n.without_near_copies(docs).collect()) == brute_kept(rows)
 
 
 def test_kept_documents_equal_brute_force(spark):
