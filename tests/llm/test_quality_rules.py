@@ -40,58 +40,39 @@ def test_binomial_tail_is_exact(spark, rate):
         assert p == pytest.approx(1.0 if k > n * rate else exact)
 
 
+def brute_joint(rows, rules, risk, allowed):
+    """Cutoffs along the joint path, by exact tests on the measures of ``rows`` (two each)."""
+    best, now = (None, None), [math.inf, math.inf]
+    for rule, cutoff in q.path(rules):
+        now[list(rules).index(rule)] = cutoff
+        n, k = len(rows), sum(a > now[0] or b > now[1] for a, b in rows)
+        if k > n * risk or sum(math.comb(n, i) * risk**i * (1 - risk) ** (n - i) for i in range(k + 1)) > allowed:
+            break
+        best = tuple(None if x == math.inf else x for x in now)
+    return best
+
+
 def test_certified_cutoffs_equal_brute_force(spark):
-    rng = random.Random(8)
-    rows = [(i, "en" if i % 4 else None, rng.random() ** 3, rng.random() ** 2) for i in range(6000)]
-    labels = [(i, int(rng.random() < 0.8)) for i in range(0, 6000, 2)] + [(2, 0), (None, 1), (4, None)]
-    rules = {"a": (0.99, 0.98, 0.95, 0.9, 0.5), "b": (0.999, 0.99, 0.9)}
-    measures = spark.createDataFrame(rows, "doc_id bigint, lang string, a double, b double")
-    frame = spark.createDataFrame(labels, "doc_id bigint, quality int")
-    got = {r.stratum: (r.a, r.b) for r in q.certified_cutoffs(measures, frame, rules, 0.1, 0.05).collect()}
-    marks: dict[int, int] = {}
-    for i, quality in labels:
-        if i is not None and quality is not None:
-            marks[i] = min(quality, marks.get(i, 1))
-    for stratum in ("en", None):
-        good = [r for r in rows if r[1] == stratum and marks.get(r[0]) == 1]
-        for position, cutoffs in enumerate(rules.values()):
-            best = None
-            for c in cutoffs:
-                k, n = sum(r[2 + position] > c for r in good), len(good)
-                p = sum(math.comb(n, i) * 0.05**i * 0.95 ** (n - i) for i in range(k + 1))
-                if k > n * 0.05 or p > 0.05 / 2 / 2:
-                    break
-                best = c
-            assert got[stratum][position] == best
-    assert got["en"][0] is not None
-
-
-def test_small_strata_get_joint_or_pooled_cutoffs(spark):
     rng = random.Random(9)
     sizes = {"en": 2000, "de": 400, "fr": 120, None: 130}
     rows = [(lang, rng.random() ** 40, rng.random() ** 20) for lang, n in sizes.items() for _ in range(n)]
     rows = [(i, *r) for i, r in enumerate(rows)]
     rules = {"a": (0.999, 0.9, 0.5, 0.1), "b": (0.999, 0.99, 0.2)}
     assert q.path(rules) == [("a", 0.999), ("b", 0.999), ("a", 0.9), ("b", 0.99), ("a", 0.5), ("a", 0.1), ("b", 0.2)]
-    measures = spark.createDataFrame(rows, "doc_id bigint, lang string, a double, b double")
-    marks = measures.selectExpr("doc_id", "1 as quality")
-    got = {r.stratum: (r.a, r.b) for r in q.certified_cutoffs(measures, marks, rules, 0.02, 0.05).collect()}
-
-    def joint(members):
-        best, now = (None, None), [math.inf, math.inf]
-        good = [r for r in rows if r[1] in members]
-        for rule, cutoff in q.path(rules):
-            now["ab".index(rule)] = cutoff
-            n, k = len(good), sum(r[2] > now[0] or r[3] > now[1] for r in good)
-            p = sum(math.comb(n, i) * 0.02**i * 0.98 ** (n - i) for i in range(k + 1))
-            if k > n * 0.02 or p > 0.05 / 4:
-                break
-            best = tuple(None if x == math.inf else x for x in now)
-        return best
-
-    assert q.least_good(0.02, 0.05 / 4) == 217 and q.least_good(0.01, 0.05 / 8) == 505
-    assert got["de"] == joint(["de"]) and got["fr"] == got[None] == joint(["fr", None])
-    assert got["de"][0] is not None and got["fr"][0] is not None
+    marks = [(i, int(rng.random() < 0.9)) for i in range(len(rows))] + [(2, 0), (None, 1), (4, None)]
+    quality: dict[int, int] = {}
+    for i, mark in marks:
+        if i is not None and mark is not None:
+            quality[i] = min(mark, quality.get(i, 1))
+    measures = spark.createDataFrame([*rows, *rows[:50]], "doc_id bigint, lang string, a double, b double")
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+    got = {r.stratum: (r.certified_on, (r.a, r.b)) for r in q.certified_cutoffs(measures, labels, rules, 0.02, 0.05).collect()}
+    good = [r for r in rows if quality.get(r[0]) == 1]
+    assert q.least_good(0.02, 0.05 / 5) == 228
+    for lang in ("en", "de"):
+        assert got[lang] == ("own", brute_joint([r[2:] for r in good if r[1] == lang], rules, 0.02, 0.05 / 5))
+    assert got["fr"] == got[None] == ("all", brute_joint([r[2:] for r in good], rules, 0.02, 0.05 / 5))
+    assert all(cutoffs[0] is not None for _, cutoffs in got.values())
 
 
 def test_verdicts(spark, edge, nothing):

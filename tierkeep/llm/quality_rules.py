@@ -1,14 +1,15 @@
 """Quality rules whose cutoffs are certified on labelled holdouts. DataFrame operations only.
 
-A rule rejects a document whose measure lies above the cutoff of the document's stratum. A cutoff is
-used only if an exact binomial test on the stratum's good documents shows that the rule rejects at
-most the allowed share of them. Cutoffs of a rule are tested from the most lenient on and testing
-stops at the first failure, so their number costs nothing; rules and strata share the error
-probability evenly (Bonferroni), and the rules share the allowed share, so together they keep it.
-
-A stratum with too few good documents for that has the rules tested jointly, along one fixed path on
-which they become stricter in turn, at the whole allowed share. Strata with too few for that as well
-are tested so together, as one coarser stratum. Which way is taken depends on their numbers only.
+A rule rejects a document whose measure lies above the cutoff of the document's stratum. Cutoffs are
+used only if an exact binomial test on the stratum's good documents shows that all rules together
+reject at most the allowed share of them. They are tested along one fixed path from lenient to
+strict, on which the rules become stricter in turn, and testing stops at the first failure, so the
+number of steps costs nothing; strata share the error probability evenly (Bonferroni).
+
+One more stratum, of all good documents together, is tested in the same way. Where a stratum has too
+few good documents for any test to pass, its documents are judged by the cutoffs of that coarser
+stratum, and ``certified_on`` says so: they hold for all good documents as a whole, not for the
+stratum's own.
 """
 
 from __future__ import annotations
@@ -154,58 +155,51 @@ def certified_cutoffs(
     risk: float = RISK,
     error: float = ERROR,
 ) -> DataFrame:
-    """One row per stratum that has good documents: ``stratum`` and a column per rule, NULL where nothing is certified.
+    """One row per stratum that has good documents: ``stratum``, ``certified_on`` and a column per rule, NULL where nothing is certified.
 
     ``measures`` has ``doc_id``, ``lang`` (the stratum; NULL is one) and the rules' measures. A
     document is good if all its labels have quality 1; labels without id or quality do not count.
-    Strata with at least ``least_good(risk / rules, error / rules / strata)`` good documents have
-    each rule tested by itself; smaller ones the joint ``path``, each by itself from
-    ``least_good(risk, error / strata)`` on, those below all together. What holds for the latter
-    holds for their good documents as a whole, not for each of them.
-    One aggregation over the labelled rows; what follows has one row per stratum, rule and cutoff.
+    Rows of one id and the same measures are one trial. ``certified_on`` is ``own``, or ``all`` for
+    strata with fewer good documents than ``least_good(risk, error / (strata + 1))``, whose cutoffs
+    are those certified on all good documents together.
+    One aggregation over the labelled rows; what follows has one row per stratum and step.
     """
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_q"))
-    holdout = measures.join(good.where("_q = 1").select("doc_id"), "doc_id")
-    steps = [(r, i, c) for r, cutoffs in rules.items() for i, c in enumerate(cutoffs)]
+    holdout = measures.select("doc_id", "lang", *rules).join(good.where("_q = 1").select("doc_id"), "doc_id").distinct()
     reached: dict[str, float] = {}
-    jointly = []
+    steps = []
     for i, (r, c) in enumerate(path(rules)):
         reached[r] = c
         rejected = reduce(Column.__or__, (F.col(x) > F.lit(y) for x, y in reached.items()))
-        jointly.append((r, i, c, F.sum(rejected.cast("bigint")).alias(f"_joint_{i}")))
-    counted = holdout.groupBy(F.col("lang").alias("stratum")).agg(
-        F.count("*").alias("n"),
-        *(F.sum((F.col(r) > F.lit(c)).cast("bigint")).alias(f"{r}_{i}") for r, i, c in steps),
-        *(k for *_, k in jointly),
+        steps.append((r, c, F.sum(rejected.cast("bigint")).alias(f"_k{i}")))
+    sums = ["n", *(f"_k{i}" for i in range(len(steps)))]
+    counted = holdout.groupBy(F.col("lang").alias("stratum")).agg(F.count("*").alias("n"), *(k for *_, k in steps))
+    counted = cut(counted.select("stratum", F.lit(False).alias("_all"), *sums))
+    whole = counted.groupBy(F.lit(None).cast("string").alias("stratum"), F.lit(True).alias("_all")).agg(*(F.sum(c).alias(c) for c in sums))
+    # all strata and the coarser one are as many rows as there are tests
+    tested = counted.union(whole).withColumn("_allowed", F.lit(error) / F.count("*").over(Window.partitionBy()))
+    tests = F.array(
+        *(
+            F.struct(F.lit(i).alias("step"), F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"_k{i}").alias("k"))
+            for i, (r, c, _) in enumerate(steps)
+        )
     )
-    counted = counted.withColumn("_strata", F.count("*").over(Window.partitionBy()))
-
-    def enough(share: float, allowed: Column) -> Column:
-        return F.exp(F.col("n") * F.lit(math.log1p(-share))) <= allowed
-
-    each = F.lit(error / len(rules)) / F.col("_strata")
-    whole = F.lit(error) / F.col("_strata")
-    way = F.when(enough(risk / len(rules), each), F.lit("rules")).when(enough(risk, whole), F.lit("joint")).otherwise(F.lit("pool"))
-    counted = counted.withColumn("_way", way)
-    pool = Window.partitionBy("_way")
-    pooled = {c: F.when(F.col("_way") == "pool", F.sum(c).over(pool)).otherwise(F.col(c)) for c in ("n", *(f"_joint_{i}" for _, i, *_ in jointly))}
-    counted = counted.withColumns(pooled)
-
-    def test(line: str, r: str, i: int, c: float, k: str) -> Column:
-        return F.struct(F.lit(line).alias("line"), F.lit(r).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.col(k).alias("k"))
-
-    alone = F.array(*(test(r, r, i, c, f"{r}_{i}") for r, i, c in steps))
-    joint = F.array(*(test("joint", r, i, c, f"_joint_{i}") for r, i, c, _ in jointly))
-    by_rule = F.col("_way") == "rules"
-    tests = counted.select("stratum", "n", "_strata", "_way", F.explode(F.when(by_rule, alone).otherwise(joint)).alias("t"))
-    tests = tests.select("stratum", "n", "_strata", "_way", "t.*")
-    tail = F.when(by_rule, binomial_tail(F.col("n"), F.col("k"), risk / len(rules))).otherwise(binomial_tail(F.col("n"), F.col("k"), risk))
-    tests = tests.withColumn("_p", tail)
-    so_far = Window.partitionBy("stratum", "line").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    tests = tests.withColumn("_passed", F.max("_p").over(so_far) <= F.when(by_rule, each).otherwise(whole))
-    return tests.groupBy("stratum").agg(
-        *(F.min(F.when((F.col("rule") == r) & F.col("_passed"), F.col("cutoff"))).alias(r) for r in rules)
+    tested = tested.select("stratum", "_all", "n", "_allowed", F.explode(tests).alias("t")).select("stratum", "_all", "n", "_allowed", "t.*")
+    tested = tested.withColumn("_p", binomial_tail(F.col("n"), F.col("k"), risk))
+    so_far = Window.partitionBy("_all", "stratum").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    tested = tested.withColumn("_passed", F.max("_p").over(so_far) <= F.col("_allowed"))
+    found = tested.groupBy("_all", "stratum").agg(
+        (F.exp(F.max("n") * F.lit(math.log1p(-risk))) <= F.max("_allowed")).alias("_enough"),
+        *(F.min(F.when((F.col("rule") == r) & F.col("_passed"), F.col("cutoff"))).alias(r) for r in rules),
     )
+    coarser = {r: F.max(F.when(F.col("_all"), F.col(r))).over(Window.partitionBy()) for r in rules}
+    found = found.select(
+        "stratum",
+        "_all",
+        F.when(F.col("_enough"), F.lit("own")).otherwise(F.lit("all")).alias("certified_on"),
+        *(F.when(F.col("_enough"), F.col(r)).otherwise(coarser[r]).alias(r) for r in rules),
+    )
+    return found.where("not _all").drop("_all")
 
 
 def judged(
@@ -216,17 +210,19 @@ def judged(
     error: float = ERROR,
 ) -> DataFrame:
     """One row per document: the counts of ``measured``, the rules' measures, ``base_failed``,
-    ``failed_rules`` (sorted, comma-joined, empty if none) and ``kept``.
+    ``failed_rules`` (sorted, comma-joined, empty if none), ``kept`` and ``certified_on`` (whose good
+    documents the cutoffs are certified on: ``own`` stratum, ``all``, or NULL for the base rule only).
 
     The base rule fails a document with fewer than 50 words, or more than half of whose words stand
     in repeated windows. Documents of a stratum without good labelled documents, or for which nothing
-    is certified, fail the base rule only.
+    is certified, fail the base rule only. Repeated rows are judged each; long texts are measured whole;
+    other columns are not read.
     No documents give no rows; without labels nothing is certified. Counts are taken once and
     written, as the cutoffs and the verdict both need them; texts are not.
     """
     measures = cut(with_measures(measured(docs)))
     cutoffs = cut(certified_cutoffs(measures, labels, rules, risk, error))
-    renamed = cutoffs.select(F.col("stratum").alias("_stratum"), *(F.col(r).alias(f"_{r}") for r in rules))
+    renamed = cutoffs.select(F.col("stratum").alias("_stratum"), "certified_on", *(F.col(r).alias(f"_{r}") for r in rules))
     ruled = measures.join(renamed, F.col("lang").eqNullSafe(F.col("_stratum")), "left")
     failed = F.array_compact(F.array(*(F.when(F.col(r) > F.col(f"_{r}"), F.lit(r)) for r in sorted(rules))))
     few = F.col("n_words") < 50
@@ -236,4 +232,5 @@ def judged(
         (few | repetitive).alias("base_failed"),
         F.concat_ws(",", failed).alias("failed_rules"),
         (~(few | repetitive) & (F.size(failed) == 0)).alias("kept"),
+        F.when(reduce(Column.__or__, (F.col(f"_{r}").isNotNull() for r in rules)), F.col("certified_on")).alias("certified_on"),
     )

@@ -235,7 +235,7 @@ def op8_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     ruled = quality_rules.judged(docs, _table(spark, sf_dir, "labels"))
     return ruled.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules", "certified_on"
     )
 
 
