@@ -91,6 +91,46 @@ def test_pages_of_a_template_are_not_compared_all_with_all(spark):
     assert sorted(r.doc_id for r in n.without_near_copies(docs).collect()) == brute_kept(rows)
 
 
+def copies_of_one_text(copies=500, size=150):
+    """Copies of one text with a few other words each; hardly any two are near copies, and those are compared with all others."""
+    rng = random.Random(11)
+    base, texts = [f"b{i}" for i in range(size)], []
+    for i in range(copies):
+        words = list(base)
+        for at in rng.sample(range(size), rng.randint(2, 8)):
+            words[at] = f"c{i}at{at}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles():
+    sets = [n.shingles(t.encode()) for t in [*made_texts(), *copies_of_one_text(40), ""]]
+    sketches = [np.unpackbits(n.sketch(s).view(np.uint8)) for s in sets]
+    assert all(len(s) == n.BITS for s in sketches)
+    for i in range(0, len(sets), 3):
+        for j in range(i):
+            apart = len(np.setxor1d(sets[i], sets[j], assume_unique=True))
+            bits = int((sketches[i] != sketches[j]).sum())
+            assert bits <= apart and (apart - bits) % 2 == 0
+
+
+def test_copies_too_far_apart_are_not_paired_and_no_near_copies_lost(spark):
+    rows = list(enumerate(copies_of_one_text()))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    crowd = n._known(docs).select("print", "n", F.col("print").alias("part"), "doc_id")
+    sets = {n._print(s): s for s in (n.shingles(t.encode()) for _, t in rows)}
+    near, names = set(), sorted(sets)
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if 5 * common >= 4 * (len(sets[a]) + len(sets[b]) - common):
+                near.add((a, b))
+    pairs = {(r.a, r.b) for r in n._by_rarest(crowd.drop("doc_id"), crowd, docs).collect()}
+    assert near <= pairs and len(near) > 100
+    assert len(pairs) <= 2 * len(near)
+    assert sorted(r.doc_id for r in n.without_near_copies(docs).collect()) == brute_kept(rows)
+
+
 def test_crowded_keys_give_the_same_documents(spark, monkeypatch):
     rows = list(enumerate(made_texts()))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")

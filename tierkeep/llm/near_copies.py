@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,6 +28,9 @@ KEYS, VALUES = 24, 5
 #: Texts that one key may hold before they are compared by their rarest shingles instead of all with all.
 CROWD = 32
 
+#: Bits of a sketch, a power of two. Few bits only let more pairs pass to the sets, so long texts need no more.
+BITS = 1024
+
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -82,6 +88,17 @@ def keys(hashes: np.ndarray) -> np.ndarray:
     return found
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """``BITS`` bits as signed 64-bit numbers, each odd or even like the number of the set's shingles that fall on it.
+
+    Shingles in both of two sets leave each bit equal or turn it in both, so two sketches differ in
+    no more bits than there are shingles in one of the sets only. Of near copies, these are at most
+    a ninth of the shingles of both, counted in each.
+    """
+    places = (hashes >> np.uint64(65 - BITS.bit_length())).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=BITS) & 1).view(np.int64)
+
+
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     values = np.concatenate(rows).view(np.int64) if rows else np.empty(0, np.int64)
@@ -115,6 +132,17 @@ def _sets_of(texts: DataFrame) -> DataFrame:
     return map_batches(texts.select("text"), work, "node bigint, set array<bigint>")
 
 
+def _sketches(sets: DataFrame) -> DataFrame:
+    """``node`` and ``sketch`` of every ``set``."""
+
+    def work(batch: pa.RecordBatch) -> dict[str, object]:
+        found = batch.column("set")
+        ends, values = found.offsets.to_numpy(), found.values.to_numpy().view(np.uint64)
+        return {"node": batch.column("node"), "sketch": _lists([sketch(values[a:b]) for a, b in zip(ends, ends[1:])])}
+
+    return map_batches(sets.select("node", "set"), work, "node bigint, sketch array<bigint>")
+
+
 @F.arrow_udf(LongType())
 def _prints(texts: pa.Array) -> pa.Array:
     return pa.array((_print(shingles(t)) for t in texts_as_bytes(texts)), pa.int64())
@@ -170,8 +198,9 @@ def _by_rarest(crowd: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     Shingles are put in one order, from those in the fewest texts of the crowd on. Of near copies,
     the larger one has among its rarest fifth, and the smaller one among its rarest ninth, the first
     shingle that both have; so shingles that a template gives to all its pages, which come last,
-    bring no pairs. Only pairs that can still reach the similarity, by the shingles left behind that
-    one, are formed.
+    bring no pairs. A pair is formed only where the shingle, were it the first that both have, leaves
+    enough behind it in both texts to reach the similarity, and only if the sketches do not rule the
+    similarity out; so texts of one origin, too far apart to be near copies, bring hardly any.
     """
     sets = _named_sets(crowd.select(F.col("print").alias("_node")), nodes, docs)
     rows = crowd.join(sets, F.col("print") == F.col("node")).select("print", "n", "part", F.explode("set").alias("s"))
@@ -179,12 +208,16 @@ def _by_rarest(crowd: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     rows = rows.join(counts, "s", "left").withColumn("_c", F.coalesce("count", F.lit(1)))
     rows = rows.withColumn("_at", F.row_number().over(Window.partitionBy("print").orderBy("_c", "s")))
     # n - ceil(0.8 n) + 1 of them
-    front = cut(rows.where("_c > 1 and 5 * (_at - 1) <= n").select("s", "print", "n", "part", "_at"))
+    front = rows.where("_c > 1 and 5 * (_at - 1) <= n").join(_sketches(sets), F.col("print") == F.col("node"))
+    front = cut(front.select("s", "print", "n", "part", "_at", "sketch"))
     small = front.where("9 * (_at - 1) <= n")
-    large = front.select("s", *(F.col(c).alias(f"_{c}") for c in ("print", "n", "part")), F.col("_at").alias("_place"))
+    large = front.select("s", *(F.col(c).alias(f"_{c}") for c in ("print", "n", "part", "sketch")), F.col("_at").alias("_place"))
     met = small.join(large, "s").where(F.struct("n", "print") < F.struct("_n", "_print"))
-    most = F.least("_at", "_place") + F.least(F.col("n") - F.col("_at"), F.col("_n") - F.col("_place"))
-    met = met.where((F.col("part") != F.col("_part")) & _of_size("n", "_n") & (9 * most >= 4 * (F.col("n") + F.col("_n"))))
+    both = F.col("n") + F.col("_n")
+    most = 1 + F.least(F.col("n") - F.col("_at"), F.col("_n") - F.col("_place"))
+    met = met.where((F.col("part") != F.col("_part")) & _of_size("n", "_n") & (9 * most >= 4 * both))
+    words = (F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("_sketch")[i])) for i in range(BITS // 64))
+    met = met.where(9 * reduce(add, words) <= both)
     return met.select(*_ordered("print", "_print")).distinct()
 
 
