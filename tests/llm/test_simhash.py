@@ -48,6 +48,14 @@ def test_fingerprints_equal_the_definition(spark):
     assert word & (2**64 - 1) == xxhash.xxh64_intdigest(b"a b c", 42)
 
 
+def test_rows_of_an_explode_are_never_broadcast(spark, tmp_path):
+    """They are sized as before the explode, so a table of 100 fingerprints would be sent 34 times over."""
+    spark.range(100).select(F.xxhash64("id").alias("fingerprint")).write.parquet(f"{tmp_path}/prints")
+    plan = s.links(spark.read.parquet(f"{tmp_path}/prints"))._jdf.queryExecution().sparkPlan().toString()
+    joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin) .*?(Inner|LeftAnti|LeftSemi)", plan)
+    assert [way for way, kind in joins if kind == "Inner"] == ["SortMergeJoin"], plan
+
+
 @pytest.mark.parametrize("bucket", [1, 64])
 def test_components_equal_brute_force(spark, bucket):
     """With a bucket of 1 nearly everything goes the way of crowded buckets."""

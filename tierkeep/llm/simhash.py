@@ -101,7 +101,8 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     crowded = cut(table.groupBy("half", "key").count().where(F.col("count") > bucket).select("half", "key"))
     small = table.join(crowded, ["half", "key"], "left_anti").groupBy("half", "key")
     small = small.agg(F.collect_list("fingerprint").alias("_found"))
-    pairs = probes.join(small, ["half", "key"]).select("fingerprint", F.explode("_found").alias("_other"))
+    # Spark sizes ``probes`` as before the explode, a thirty-fourth of what it is, and would broadcast it
+    pairs = probes.join(small.hint("merge"), ["half", "key"]).select("fingerprint", F.explode("_found").alias("_other"))
     near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("_other"))) <= RADIUS
     pairs = pairs.where((F.col("fingerprint") != F.col("_other")) & near)
 
