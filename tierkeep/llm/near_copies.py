@@ -212,7 +212,8 @@ def _by_rarest(crowd: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     front = cut(front.select("s", "print", "n", "part", "_at", "sketch"))
     small = front.where("9 * (_at - 1) <= n")
     large = front.select("s", *(F.col(c).alias(f"_{c}") for c in ("print", "n", "part", "sketch")), F.col("_at").alias("_place"))
-    met = small.join(large, "s").where(F.struct("n", "print") < F.struct("_n", "_print"))
+    # rows of one text repeat its sketch, so their file is many times smaller than they are in a broadcast
+    met = small.join(large.hint("merge"), "s").where(F.struct("n", "print") < F.struct("_n", "_print"))
     both = F.col("n") + F.col("_n")
     most = 1 + F.least(F.col("n") - F.col("_at"), F.col("_n") - F.col("_place"))
     met = met.where((F.col("part") != F.col("_part")) & _of_size("n", "_n") & (9 * most >= 4 * both))
