@@ -19,8 +19,8 @@ from tierkeep.operators.latest import latest_per_key
 from tierkeep.plans import bronze
 from tierkeep.plans.silver import player_rows, review_rows, run_silver, store_rows
 from tierkeep.queries.bindings import percent
-from tierkeep.queries.registry import query, table
-from tierkeep.session import cut, scratch_path
+from tierkeep.queries.registry import Query, query, table
+from tierkeep.session import cut, scratch, scratch_path
 from tierkeep.sources import registry, tables
 from tierkeep.sources.batches import documents_statistics, read_batches, write_batches
 from tierkeep.sources.schemas import PLAYERS_DDL, REVIEWS_CORE_DDL, reviews_ddl, store_core_ddl, store_ddl, struct_of
@@ -140,9 +140,13 @@ def raw_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed(spark: SparkSession, records: DataFrame, label: str) -> str:
+def _landed(spark: SparkSession, sf_dir: str, records: Query, label: str) -> str:
+    """The folder of the landed ``records``; what was kept to make them is deleted as soon as they are written."""
     path = scratch_path(spark, label)
-    write_batches(cut(records), path)
+    with scratch(spark):
+        with scratch(spark) as keep:
+            made = keep(cut(records(spark, sf_dir)))
+        write_batches(made, path, compression="gzip")
     return path
 
 
@@ -157,7 +161,7 @@ from st""",
 )
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written as batch documents and read back with the declared schema."""
-    path = _landed(spark, store_records(spark, sf_dir), "store")
+    path = _landed(spark, sf_dir, store_records, "store")
     return read_batches(spark, path, store_core_ddl()).select(
         "record_id",
         "batch_id",
@@ -178,7 +182,7 @@ select 'store_api' source, batch batch_id, count(*) total_requested, count(*) fi
 from st group by batch""",
 )
 def landed_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landed(spark, store_records(spark, sf_dir), "store")
+    path = _landed(spark, sf_dir, store_records, "store")
     return documents_statistics(spark, path, store_core_ddl())
 
 
@@ -222,7 +226,7 @@ select cast(p_partkey as int) app_id, p_name "name", 'game' "type", is_free, p_b
 )
 def typed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All item attributes of the latest successful record per item, from landed documents."""
-    path = _landed(spark, store_records(spark, sf_dir), "store")
+    path = _landed(spark, sf_dir, store_records, "store")
     rows = store_rows(read_batches(spark, path, store_core_ddl()))
     arrays = {a: joined(F.col(a)) for a in ("developers", "publishers", "categories", "genres")}
     return rows.withColumns({**arrays, "_ingested_at": F.date_format("_ingested_at", "yyyy-MM-dd")})
@@ -271,7 +275,7 @@ select cast(user_id as int) app_id, cast(pos + neg as int) total_reviews, cast(p
        pos / cast(pos + neg as double) positive_ratio, run _ingested_at from latest where n = 1""",
 )
 def typed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landed(spark, review_records(spark, sf_dir), "reviews")
+    path = _landed(spark, sf_dir, review_records, "reviews")
     rows = review_rows(read_batches(spark, path, REVIEWS_CORE_DDL)).drop("_source_batch_id")
     return rows.withColumn("_ingested_at", F.date_format("_ingested_at", "yyyy-MM-dd"))
 
@@ -307,7 +311,7 @@ pl as (select user_id, strftime(ts, '%Y-%m-%d') run, count(*) n, count(*) filter
 select cast(user_id as int) app_id, cast(n as int) player_count, run snapshot_date from pl where n > signups""",
 )
 def typed_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landed(spark, player_records(spark, sf_dir), "players")
+    path = _landed(spark, sf_dir, player_records, "players")
     return player_rows(read_batches(spark, path, PLAYERS_DDL)).select("app_id", "player_count", "snapshot_date")
 
 
@@ -322,8 +326,8 @@ select 'reviews', user_id, run, pos + neg, 0, null, 'reviews answered success=0'
 )
 def landed_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers that were refused, read back as landed: what was answered is kept, as fields and as text."""
-    players = read_batches(spark, _landed(spark, player_records(spark, sf_dir), "players"), PLAYERS_DDL)
-    reviews = read_batches(spark, _landed(spark, review_records(spark, sf_dir), "reviews"), reviews_ddl())
+    players = read_batches(spark, _landed(spark, sf_dir, player_records, "players"), PLAYERS_DDL)
+    reviews = read_batches(spark, _landed(spark, sf_dir, review_records, "reviews"), reviews_ddl())
     raw = F.col("raw_data")
     parts = (
         ("player_stats", players, raw["player_count"], raw["result"], raw["raw_response"]),
@@ -367,7 +371,7 @@ select cast(user_id as int) app_id, cast(n as int) player_count, run snapshot_da
 )
 def mixed_document_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts out of a folder where every tenth day's documents are files of their own, spread over lines."""
-    landed = spark.read.text(_landed(spark, player_records(spark, sf_dir), "players")).withColumn("date", F.col("date").cast("string"))
+    landed = spark.read.text(_landed(spark, sf_dir, player_records, "players")).withColumn("date", F.col("date").cast("string"))
     mixed, own_file = scratch_path(spark, "mixed"), F.col("date").endswith("1")
     landed.filter(~own_file).write.partitionBy("date").text(mixed)
     spread = landed.filter(own_file).withColumn("value", F.regexp_replace("value", r'([\[,])(\{"metadata":|"records":)', "$1\n  $2"))

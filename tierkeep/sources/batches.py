@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierkeep.operators.envelope import batch_statistics
-from tierkeep.sources.folders import by_folder
+from tierkeep.session import cut, scratch
 from tierkeep.sources.schemas import METADATA_DDL, STATUS_SUCCESS, batch_schema, struct_of
 
 
@@ -114,12 +114,12 @@ def flatten_batches(documents: DataFrame) -> DataFrame:
     return documents.selectExpr("inline(records)").select("metadata.*", "raw_data")
 
 
-def batch_documents(records: DataFrame) -> DataFrame:
-    """One row per batch out of rows with ``metadata`` and ``raw_data``.
+def batch_documents(records: DataFrame, *by: str) -> DataFrame:
+    """One row per batch out of rows with ``metadata`` and ``raw_data``; columns ``by`` are the same in a whole batch.
 
     Gathering is safe because ``batched`` bounds every batch, and ``write_batches`` checks it.
     """
-    head = records.select("metadata", "raw_data").withColumns(
+    head = records.select("metadata", "raw_data", *by).withColumns(
         {"batch_id": F.col("metadata.batch_id"), "source": F.col("metadata.source")}
     )
     done = F.col("metadata.status") == STATUS_SUCCESS
@@ -130,25 +130,47 @@ def batch_documents(records: DataFrame) -> DataFrame:
         (requested - succeeded).alias("total_failed"),
         (succeeded / requested * 100).alias("success_rate"),
     )
-    return head.groupBy("batch_id", "source").agg(
+    documents = head.groupBy(*by, "batch_id", "source").agg(
         F.min("metadata.ingested_at").alias("started_at"),
         F.max("metadata.ingested_at").alias("completed_at"),
         statistics.alias("statistics"),
         F.collect_list(F.struct("metadata", "raw_data")).alias("records"),
     )
+    return documents.drop(*by)
 
 
-def write_batches(records: DataFrame, path: str, limit: int = MOST_RECORDS) -> None:
+#: Records of one day that a task of ``write_batches`` should get.
+TASK_RECORDS = 50_000
+
+
+def write_batches(records: DataFrame, path: str, limit: int = MOST_RECORDS, compression: str | None = None) -> None:
     """Append batch documents under ``date=YYYY-MM-DD``, the day the batch started.
 
     Nothing is written, and ValueError raised, if a batch has more than ``limit`` records: a document
     is gathered in one task. The records are read twice, so pass written ones.
+
+    Batches are sized and dated first, from their metadata alone, so that records move once, to the
+    task that writes their day, and a large day is dealt out over several. ``compression`` (``gzip``)
+    makes files many times smaller that a task then reads as a whole.
     """
-    large = records.groupBy("metadata.source", "metadata.batch_id").count().filter(F.col("count") > limit).first()
-    if large is not None:
-        raise ValueError(f"batch {large['batch_id']} of {large['source']} has {large['count']} records, more than {limit}")
-    documents = batch_documents(records).withColumn("date", F.substring("started_at", 1, 10))
-    by_folder(documents, ["date"]).write.mode("append").partitionBy("date").json(path)
+    with scratch(records.sparkSession):
+        named = F.xxhash64("metadata.source", "metadata.batch_id")
+        found = records.groupBy("metadata.source", "metadata.batch_id").agg(
+            F.count("*").alias("count"), F.substring(F.min("metadata.ingested_at"), 1, 10).alias("_day")
+        )
+        found = cut(found)
+        large = found.filter(F.col("count") > limit).first()
+        if large is not None:
+            raise ValueError(f"batch {large['batch_id']} of {large['source']} has {large['count']} records, more than {limit}")
+        tasks = F.ceil(F.sum("count").over(Window.partitionBy("_day")) / TASK_RECORDS)
+        batch = F.xxhash64("source", "batch_id")
+        # where a batch goes, by a hash of its name: two of one hash only go the same way
+        tasked = found.select(batch.alias("_name"), F.hash("_day", F.pmod(batch, tasks)).alias("_task"))
+        tasked = cut(tasked.groupBy("_name").agg(F.min("_task").alias("_task")))
+        dealt = records.select("metadata", "raw_data", named.alias("_name")).join(tasked, "_name").drop("_name")
+        documents = batch_documents(dealt.repartition("_task"), "_task").withColumn("date", F.substring("started_at", 1, 10))
+        writer = documents.write.mode("append").partitionBy("date")
+        (writer if compression is None else writer.option("compression", compression)).json(path)
 
 
 def documents_statistics(spark: SparkSession, path: str, payload_ddl: str) -> DataFrame:
