@@ -14,7 +14,7 @@ from tierkeep.functions.times import AsOf, as_timestamp, day_text, run_stamp
 from tierkeep.operators.facts import append_counts, unseen
 from tierkeep.operators.latest import latest_per_key
 from tierkeep.operators.scd2 import Dimension, merge
-from tierkeep.session import cut
+from tierkeep.session import cut, scratch
 from tierkeep.sources import ledger, registry, tables
 from tierkeep.sources.batches import UNREADABLE, landed_rows, read_documents
 from tierkeep.sources.schemas import (
@@ -269,10 +269,14 @@ def current_views(spark: SparkSession, silver_root: str) -> list[str]:
 
 
 def isolated(spark: SparkSession, name: str, step: Callable[[], DataFrame]) -> DataFrame:
-    """Run one table's step; a failure becomes a result row and leaves the other tables alone."""
+    """Run one table's step; a failure becomes a result row and leaves the other tables alone.
+
+    Tables kept during the step are deleted at its end.
+    """
     begun = time.monotonic()
     try:
-        row = step().first()
+        with scratch(spark):
+            row = step().first()
         counts = tuple(row[c] for c in ("processed", "inserted", "updated", "unchanged", "rejected"))
         outcome = (True, None)
     except Exception as problem:  # any failure of one table is reported, not raised

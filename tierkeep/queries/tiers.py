@@ -24,7 +24,7 @@ from tierkeep.plans.silver import landing_path, run_silver, run_totals
 from tierkeep.queries.bindings import day_string, half_up_avg, half_up_percent
 from tierkeep.queries.landing import PLAYERS_SQL, REVIEWS_SQL, STORE_SQL, player_records, review_records, store_records
 from tierkeep.queries.registry import query
-from tierkeep.session import cut, scratch_path
+from tierkeep.session import cut, scratch, scratch_path
 from tierkeep.sources import registry, tables
 from tierkeep.sources.batches import write_batches
 from tierkeep.streaming.ingest import ingest_new
@@ -44,16 +44,18 @@ def silver_tiers(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
         return _built[known]
     root = scratch_path(spark, "tiers")
     first_part = {"store": F.col("run") <= 1998, "reviews": F.col("run") <= "2024-01-15", "player_stats": F.col("run") <= "2024-01-15"}
-    records = {
-        "store": store_records(spark, sf_dir),
-        "reviews": review_records(spark, sf_dir),
-        "player_stats": player_records(spark, sf_dir),
-    }
-    for stamp, first in ((FIRST_RUN, True), (SECOND_RUN, False)):
-        for kind, rows in records.items():
-            part = first_part[kind] if first else ~first_part[kind]
-            write_batches(cut(rows.filter(part)), landing_path(root, kind))
-        results = run_silver(spark, root, root, as_of=stamp)
+    with scratch(spark):
+        records = {
+            "store": store_records(spark, sf_dir),
+            "reviews": review_records(spark, sf_dir),
+            "player_stats": player_records(spark, sf_dir),
+        }
+        for stamp, first in ((FIRST_RUN, True), (SECOND_RUN, False)):
+            for kind, rows in records.items():
+                part = first_part[kind] if first else ~first_part[kind]
+                with scratch(spark):
+                    write_batches(cut(rows.filter(part)), landing_path(root, kind), compression="gzip")
+            results = run_silver(spark, root, root, as_of=stamp)
     _built[known] = (root, results)
     return _built[known]
 
