@@ -27,7 +27,7 @@ from tierkeep.plans.silver import (
     summary_records,
     take_in,
 )
-from tierkeep.session import cut
+from tierkeep.session import cut, scratch
 from tierkeep.sources import tables
 from tierkeep.sources.batches import FILE, UNREADABLE, document_schema, landed_rows
 from tierkeep.sources.schemas import DEFAULT_NAMES, PLAYERS_DDL, REVIEWS_CORE_DDL, PayloadNames, store_core_ddl
@@ -72,14 +72,16 @@ def ingest_new(
             total[name] += value
 
     def append(batch: DataFrame, _: int) -> None:
-        add(take_in(batch.sparkSession, kind, landed_rows(batch), silver_root, stamp, names).first().asDict())
+        with scratch(batch.sparkSession):
+            add(take_in(batch.sparkSession, kind, landed_rows(batch), silver_root, stamp, names).first().asDict())
 
     def put_aside(batch: DataFrame, number: int) -> None:
-        landed = cut(landed_rows(batch))
-        add({"rejected": reject(landed, kind, silver_root, stamp, names)})
-        rows = item_records(landed, names) if kind == "store" else summary_records(landed)
-        # a repeated micro-batch overwrites its own rows
-        tables.replace(newest_records(rows), f"{state}-read", version=number)
+        with scratch(batch.sparkSession):
+            landed = cut(landed_rows(batch))
+            add({"rejected": reject(landed, kind, silver_root, stamp, names)})
+            rows = item_records(landed, names) if kind == "store" else summary_records(landed)
+            # a repeated micro-batch overwrites its own rows
+            tables.replace(newest_records(rows), f"{state}-read", version=number)
 
     (
         documents.writeStream.foreachBatch(append if kind == "player_stats" else put_aside)
@@ -89,7 +91,8 @@ def ingest_new(
         .awaitTermination()
     )
     if kind != "player_stats":
-        add(_fold_in(spark, kind, state, silver_root, stamp))
+        with scratch(spark):
+            add(_fold_in(spark, kind, state, silver_root, stamp))
     return spark.createDataFrame([tuple(total[c] for c in COUNTS)], ", ".join(f"{c} bigint" for c in COUNTS))
 
 
